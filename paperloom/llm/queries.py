@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import mixing, quality
+from . import bpe, media, mixing, quality, secrets, tokenstore, warc
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret in the documents, by its marginal compressed bytes."""
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as monolithic files, rewritten with a member a record, each read back by its offset."""
+    return warc.rewritten(table(spark, sf_dir, "pages"))
+
+
+def warc_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the members of op4 hold, without their places, which SQL can't know."""
+    return warc.rewritten(table(spark, sf_dir, "pages")).select("page_id", "url", "body_bytes", "body_md5", "error")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +31,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(table(spark, sf_dir, "documents"))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' tokens in binary shards; each document's place, by select."""
+    return tokenstore.written(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' tokens by the backtracking encoder, decoded again and compared."""
+    return bpe.encoded(table(spark, sf_dir, "documents"))
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine-transform hashes of the PNGs of all embeddings."""
+    return media.hashed(media.pictures(table(spark, sf_dir, "embeddings")))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that break no quality rule, with their metrics."""
     docs = table(spark, sf_dir, "documents")
@@ -23,8 +53,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.filter(quality.compiled(F.col("m")) == "").select(*docs.columns, *[F.col("m")[k].alias(k) for k in quality.METRICS])
 
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op2_secrets, op4_warc, op6_mixing, op7_token_store, op8_bpe, op9_media, op10_quality, warc_read_back)
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_mixing": op6_mixing, "op10_quality": op10_quality}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -32,4 +67,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_mixing": mixing.sql_copies("documents", cols),
         "op10_quality": f"SELECT * EXCLUDE (broken) FROM ({quality.sql_body('documents', cols)}) WHERE broken = ''",
+        "warc_read_back": "SELECT page_id, url, strlen(html)::BIGINT AS body_bytes, md5(html) AS body_md5, NULL::VARCHAR AS error FROM pages",
     }
