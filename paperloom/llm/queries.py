@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, media, mixing, quality, secrets, tokenstore, warc
+from . import bpe, media, mixing, ngram, privacy, quality, secrets, tokenstore, warc
+
+
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram perplexity of every document under a model of the whole corpus."""
+    docs = table(spark, sf_dir, "documents")
+    return ngram.scored(docs, ngram.trained(docs))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +32,11 @@ def warc_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.rewritten(table(spark, sf_dir, "pages")).select("page_id", "url", "body_bytes", "body_md5", "error")
 
 
+def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with personal data generalised and the terms that disclose it."""
+    return privacy.sanitised_documents(table(spark, sf_dir, "documents"), counts=True)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poisson replication of documents to temperature weights of their sources."""
     return mixing.copies(table(spark, sf_dir, "documents"))
@@ -54,7 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op4_warc, op6_mixing, op7_token_store, op8_bpe, op9_media, op10_quality, warc_read_back)
+    f.__name__: f for f in (op1_lm_score, op2_secrets, op4_warc, op5_privacy, op6_mixing, op7_token_store, op8_bpe, op9_media, op10_quality, warc_read_back)
 }
 
 
