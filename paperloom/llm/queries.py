@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, media, mixing, ngram, privacy, quality, secrets, tokenstore, warc
+from . import bpe, jaccard, media, mixing, ngram, privacy, quality, secrets, tokenstore, warc
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of documents whose word 3-gram sets have a Jaccard similarity of 0.5 or more."""
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as monolithic files, rewritten with a member a record, each read back by its offset."""
     return warc.rewritten(table(spark, sf_dir, "pages"))
@@ -65,7 +70,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_secrets, op4_warc, op5_privacy, op6_mixing, op7_token_store, op8_bpe, op9_media, op10_quality, warc_read_back)
+    f.__name__: f for f in (op1_lm_score, op2_secrets, op3_jaccard_join, op4_warc, op5_privacy, op6_mixing, op7_token_store, op8_bpe, op9_media, op10_quality, warc_read_back)
 }
 
 
@@ -76,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     cols = "doc_id, text, lang, source, n_chars"
     return {
+        "op3_jaccard_join": jaccard.sql_pairs("documents"),
         "op6_mixing": mixing.sql_copies("documents", cols),
         "op10_quality": f"SELECT * EXCLUDE (broken) FROM ({quality.sql_body('documents', cols)}) WHERE broken = ''",
         "warc_read_back": "SELECT page_id, url, strlen(html)::BIGINT AS body_bytes, md5(html) AS body_md5, NULL::VARCHAR AS error FROM pages",
