@@ -82,7 +82,9 @@ def copies(docs: DataFrame, weights: Mapping[str, float] | None = None, epochs:
         per = F.broadcast(per)
     drawn = docs.withColumn(u, uniform(seed, F.col("doc_id"), "count"))  # before the join, so that it is hashed once a document
     counted = drawn.join(per, F.col("source").eqNullSafe(F.col(src)), "inner").withColumn(n, F.col(whole).cast("int") + F.size(F.filter(F.col(steps), lambda c: c <= F.col(u))))
-    many = counted.filter(F.col(n) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+    # in two steps, so that no array is longer than about a thousand however often a document is repeated
+    many = counted.filter(F.col(n) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / 1000).cast("int"))))
+    many = many.withColumn(copy, F.explode(F.sequence(F.col(copy) * 1000, F.least(F.col(n) - 1, F.col(copy) * 1000 + 999))))
     many = many.withColumn(key, F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col(copy).cast("string")).cast("binary")))
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
