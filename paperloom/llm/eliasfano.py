@@ -115,33 +115,56 @@ class EliasFano:
     def __len__(self) -> int:
         return self.n
 
+    def bucket(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First element and the one after the last of those with high part h (each at most universe >> width)."""
+        begin = np.zeros(len(h), np.int64)
+        later = h > 0
+        begin[later] = self.select0(h[later] - 1) - (h[later] - 1)
+        return begin, self.select0(h) - h
+
+    def lower_bound(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """In a bucket's range, the first element whose low part isn't below that of x, or ``end``.
+
+        A binary search: elements of a crowded context may share one high part.
+        """
+        lo, hi = begin.copy(), end.copy()
+        want = x & U64((1 << self.width) - 1)
+        todo = np.flatnonzero(lo < hi)
+        while len(todo):
+            mid = (lo[todo] + hi[todo]) >> 1
+            below = unpack(self.low, self.width, mid) < want[todo]
+            lo[todo[below]] = mid[below] + 1
+            hi[todo[~below]] = mid[~below]
+            todo = todo[lo[todo] < hi[todo]]
+        return lo
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index and value of the first element >= x; index n and value universe where there is none."""
         x = np.asarray(x, U64)
         index = np.full(len(x), self.n, np.int64)
         value = np.full(len(x), self.universe, U64)
         todo = np.flatnonzero(x < U64(self.universe)) if self.n else np.zeros(0, np.int64)
-        if not len(todo):
-            return index, value
-        h = (x[todo] >> U64(self.width)).astype(np.int64)
-        i = np.zeros(len(todo), np.int64)
-        later = h > 0
-        i[later] = self.select0(h[later] - 1) - (h[later] - 1)  # elements with a smaller high part
-        while len(todo):
-            inside = i < self.n
-            todo, i = todo[inside], i[inside]
-            if not len(todo):
-                break
-            v = self.access(i)
-            hit = v >= x[todo]
-            index[todo[hit]], value[todo[hit]] = i[hit], v[hit]
-            todo, i = todo[~hit], i[~hit] + 1
+        if len(todo):
+            begin, end = self.bucket((x[todo] >> U64(self.width)).astype(np.int64))
+            index[todo] = self.lower_bound(x[todo], begin, end)  # past the bucket comes the next element
+            there = todo[index[todo] < self.n]
+            value[there] = self.access(index[there])
         return index, value
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of x, or -1; faster than ``successor`` when only equality counts."""
-        i, v = self.successor(x)
-        return np.where((i < self.n) & (v == np.asarray(x, U64)), i, -1)
+        """Index of x, or -1: the successor search within x's bucket."""
+        x = np.asarray(x, U64)
+        out = np.full(len(x), -1, np.int64)
+        todo = np.flatnonzero(x < U64(self.universe)) if self.n else np.zeros(0, np.int64)
+        if not len(todo):
+            return out
+        begin, end = self.bucket((x[todo] >> U64(self.width)).astype(np.int64))
+        at = self.lower_bound(x[todo], begin, end)
+        inside = at < end
+        todo, at = todo[inside], at[inside]
+        same = unpack(self.low, self.width, at) == (x[todo] & U64((1 << self.width) - 1))
+        out[todo[same]] = at[same]
+        return out
 
     def parts(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.head": np.array([self.n, self.universe, self.width], U64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ranks": self.ranks}

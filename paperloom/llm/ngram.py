@@ -327,18 +327,18 @@ class Scorer:
         return p, g
 
     @staticmethod
-    def within(words: EliasFano, begin: np.ndarray, end: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def bases(words: EliasFano, begin: np.ndarray) -> np.ndarray:
+        """What each range that starts at ``begin`` adds to its ids: one more than the value before it."""
+        base = np.zeros(len(begin), np.uint64)
+        later = begin > 0
+        base[later] = words.access(begin[later] - 1) + U64(1)
+        return base
+
+    @staticmethod
+    def within(words: EliasFano, base: np.ndarray, begin: np.ndarray, end: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Place of each id in its context's range, or -1."""
-        out = np.full(len(ids), -1, np.int64)
-        some = np.flatnonzero(end > begin)
-        base = np.zeros(len(some), np.uint64)
-        later = begin[some] > 0
-        base[later] = words.access(begin[some][later] - 1) + U64(1)
-        want = base + ids[some].astype(np.uint64)
-        at, value = words.successor(want)
-        hit = (value == want) & (at < end[some])
-        out[some[hit]] = at[hit]
-        return out
+        at = words.find(base + ids.astype(np.uint64))
+        return np.where((at >= begin) & (at < end), at, -1)
 
     def sequences(self, s: Sequences) -> np.ndarray:
         """log2 probability of each place that is predicted, 0 elsewhere."""
@@ -356,20 +356,32 @@ class Scorer:
         first, second = s.ids[(pairs >> U64(32)).astype(np.int64)], s.ids[(pairs & U64(0xFFFFFFFF)).astype(np.int64)]
         n = len(pairs)
         q2, g2 = np.zeros(n), np.ones(n)
-        begin, end = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        begin, end, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.uint64)
         shard = sharded((first.astype(np.uint64) << U64(32)) | second, self.m.shards)
         for k, i in by_shard(shard, self.m.shards):
             arrays = mapped(path) if os.path.exists(path := os.path.join(self.m.folder, f"trie-{k}")) else None
             if arrays is None:
                 continue
-            context = EliasFano.of(arrays, "contexts").find(first[i])
-            i, context = i[context >= 0], context[context >= 0]
-            pointers = EliasFano.of(arrays, "pointers2")
-            node = self.within(EliasFano.of(arrays, "words2"), pointers.access(context).astype(np.int64), pointers.access(context + 1).astype(np.int64), second[i])
+            # pairs are in order of their first code: each context is looked up once
+            code = pairs[i] >> U64(32)
+            fresh = np.concatenate([[True], code[1:] != code[:-1]])
+            context = EliasFano.of(arrays, "contexts").find(first[i[fresh]])
+            known = context >= 0
+            span = np.zeros((3, len(context)), np.int64)
+            pointers, level2 = EliasFano.of(arrays, "pointers2"), EliasFano.of(arrays, "words2")
+            span[0, known] = pointers.access(context[known]).astype(np.int64)
+            span[1, known] = pointers.access(context[known] + 1).astype(np.int64)
+            span[2, known] = self.bases(level2, span[0, known]).astype(np.int64)
+            run = np.cumsum(fresh) - 1
+            some = known[run]
+            i, (b2, e2, base2) = i[some], span[:, run[some]]
+            node = self.within(level2, base2.astype(np.uint64), b2, e2, second[i])
             i, node = i[node >= 0], node[node >= 0]
             q2[i], g2[i] = valued(arrays["q2"][node], STEPS_P), valued(arrays["g2"][node], STEPS_G)
             pointers = EliasFano.of(arrays, "pointers3")
             begin[i], end[i] = pointers.access(node).astype(np.int64), pointers.access(node + 1).astype(np.int64)
+            i = i[end[i] > begin[i]]
+            base[i] = self.bases(EliasFano.of(arrays, "words3"), begin[i])
         # the place after a bigram's first word is predicted from it
         low = q2 + g1[(pairs >> U64(32)).astype(np.int64)] * p1[(pairs & U64(0xFFFFFFFF)).astype(np.int64)]
         p = np.ones(len(s.codes))
@@ -383,7 +395,8 @@ class Scorer:
         before, place = before[deep], place[deep]
         for k, i in by_shard(shard[before], self.m.shards):
             arrays = mapped(os.path.join(self.m.folder, f"trie-{k}"))
-            node = self.within(EliasFano.of(arrays, "words3"), begin[before[i]], end[before[i]], s.ids[s.codes[place[i]]])
+            b = before[i]
+            node = self.within(EliasFano.of(arrays, "words3"), base[b], begin[b], end[b], s.ids[s.codes[place[i]]])
             hit = node >= 0
             p[place[i[hit]]] += valued(arrays["q3"][node[hit]], STEPS_P)
         return np.log2(p)

@@ -16,6 +16,8 @@ import regex
 import xxhash
 
 EDGE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
+#: Punctuation that is tried before the pattern.
+COMMON = ".,;:!?\"'()"
 #: Bytes of text handled at once inside a task; bounds memory, not results.
 SLICE_BYTES = 8 << 20
 
@@ -37,7 +39,10 @@ def slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE_BYTES) -
 
 
 def trimmed(word: str) -> str:
-    return EDGE.sub("", word) or word
+    if word.isalpha():
+        return word
+    core = word.strip(COMMON)
+    return core if core.isalpha() else EDGE.sub("", word) or word
 
 
 def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
