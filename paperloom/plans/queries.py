@@ -133,7 +133,7 @@ def rebuild_text(spark, sf_dir):
 # ---- selections
 
 _SCOPE = "id IN (SELECT paper_id FROM paper_disciplines pd JOIN disciplines d ON d.id = pd.discipline_id WHERE d.in_scope)"
-_DUE = f"abstract IS NULL AND doi IS NOT NULL AND (abstract_recovery_state IS NULL OR (abstract_recovery_state = 'pending' AND abstract_recovery_last < TIMESTAMP '{NOW}' - INTERVAL 2 DAY))"
+_DUE = f"CASE WHEN abstract_recovery_state IS NULL THEN true WHEN abstract_recovery_state = 'pending' THEN abstract_recovery_last < TIMESTAMP '{NOW}' - INTERVAL 2 DAY END AND NOT (doi IS NULL OR abstract IS NOT NULL)"
 
 
 def _scoped(spark, sf_dir):

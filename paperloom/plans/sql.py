@@ -9,6 +9,7 @@ from ..functions.rules import BOILERPLATE, VENUE_ENDINGS
 from ..functions.text import WALLED_PREFIXES
 from ..sources.dims import HERE, SCHEMAS
 
+RESOLVER = r"^https?://doi\.org/"
 W = r"[\p{L}\p{N}_]"
 
 
@@ -34,7 +35,10 @@ def clean_doi(x: str) -> str:
 
 
 def normalize_doi(x: str) -> str:
-    return rf"regexp_replace(regexp_replace({strip(f'''lower(nullif({x}, ''))''')}, '^https?://doi\.org/', ''), '^doi:', '')"
+    bare = strip(f"lower(nullif({x}, ''))")
+    for prefix in (RESOLVER, "^doi:"):
+        bare = f"regexp_replace({bare}, '{prefix}', '')"
+    return bare
 
 
 def normalize_doi_prefix(x: str) -> str:

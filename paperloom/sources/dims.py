@@ -18,7 +18,7 @@ SCHEMAS = {
     "subfield_keywords": "entry_id int, keyword string, slug string, discipline string, slug_ord int",
 }
 #: Rank of the sources of external keywords; others come last.
-KEYWORD_SOURCES = {"s2_field": 0, "s2_field_fine": 1, "openalex_keyword": 2}
+KEYWORD_SOURCES = {s: i for i, s in enumerate("s2_field s2_field_fine openalex_keyword".split())}
 #: Subfields that ride on another one and never compete.
 OVERLAYS = ("american-political-economy",)
 
