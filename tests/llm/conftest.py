@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+sys.path[:0] = [str(p) for p in (Path(__file__).parent, *Path(__file__).parents[1:3])]
 DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()), StructField("source", StringType()), StructField("n_chars", LongType())])
 
 
