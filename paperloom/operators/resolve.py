@@ -96,3 +96,60 @@ def upsert(stored: DataFrame, incoming: DataFrame, redirects: DataFrame, columns
     ]
     fresh = full.filter("target IS NULL").select(F.col("in_id").alias("id"), *[F.col(f"in_{c}").alias(c) for c in columns])
     return joined.select(stored["id"], *merged).unionByName(fresh)
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """node, grp: connected components of records and papers over shared keys, by least labels."""
+    from ..session import checkpointed
+
+    keyed = checkpointed(rows.select("node", F.explode(F.array_distinct(F.filter(F.array("k1", "k2", "k3"), lambda k: k.isNotNull()))).alias("k")))
+    labels = checkpointed(rows.select("node", F.col("node").alias("grp")))
+    while True:
+        per_key = keyed.join(labels, "node").groupBy("k").agg(F.min("grp").alias("least"))
+        near = keyed.join(per_key, "k").groupBy("node").agg(F.min("least").alias("least"))
+        new = checkpointed(labels.join(near, "node", "left").select("node", F.least("grp", F.coalesce("least", "grp")).alias("grp"), (F.coalesce("least", "grp") < F.col("grp")).alias("moved")))
+        if not new.filter("moved").limit(1).count():
+            return new.select("node", "grp")
+        labels = new.select("node", "grp")
+
+
+def upsert_in_order(stored: DataFrame, incoming: DataFrame, columns: list[str], ordinal: str) -> DataFrame:
+    """The store after a batch taken record by record, each seeing what earlier ones wrote.
+
+    Records and papers that share a key (directly or through others) form a component; components are
+    independent, so each is folded in arrival order in one task. Merges of the past aren't consulted.
+    """
+    names = ["id", *columns]
+
+    def keys(df: DataFrame, side: str) -> DataFrame:
+        tagged = lambda c, k: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(k), c))
+        order = F.col(ordinal).cast("bigint") if side == "i" else F.lit(-1).cast("bigint")
+        return df.select(F.concat(F.lit(side), "id").alias("node"), order.alias("ord"), *names, tagged(F.col("openalex_id"), "o:").alias("k1"), tagged(normalize_doi_stored(clean_doi(F.col("doi"))), "d:").alias("k2"), tagged(F.col("arxiv_id"), "a:").alias("k3"))
+
+    cleaned = incoming.withColumn("doi", clean_doi(F.col("doi")))
+    both = keys(stored, "s").unionByName(keys(cleaned, "i"))
+    grouped = both.join(_components(both.select("node", "k1", "k2", "k3")), "node")
+    blank = (None, "")
+
+    def fold(part):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        rows = part.astype(object).where(part.notna(), None).sort_values(["ord", "node"]).to_dict("records")
+        store: dict[str, dict] = {}
+        for r in rows:
+            if r["ord"] < 0:
+                store[r["id"]] = r
+                continue
+            hit = next((s for k in ("k1", "k2", "k3") if r[k] is not None for s in sorted(store.values(), key=lambda x: x["id"]) if s[k] == r[k]), None)
+            if hit is None:
+                store[r["id"]] = r
+                continue
+            for c in columns:
+                if c not in GUARDED or r[c] not in blank:
+                    hit[c] = r[c]
+            for k in ("k1", "k2", "k3"):
+                hit[k] = r[k]
+        return pd.DataFrame([[s[c] for c in names] for s in store.values()], columns=names, dtype=object)
+
+    kinds = dict(stored.dtypes)
+    return grouped.groupBy("grp").applyInPandas(fold, ", ".join(f"`{c}` {kinds[c]}" for c in names))

@@ -362,6 +362,14 @@ def paper_upsert(spark, sf_dir):
     return resolve.upsert(stored, incoming, V.redirects(spark, sf_dir), _UP_COLS)
 
 
+@query(None)
+def paper_upsert_in_order(spark, sf_dir):
+    """Records that meet each other, folded in order; a test compares with a sequential version."""
+    d = table(spark, sf_dir, "documents")
+    incoming = d.filter("doc_id % 2 = 1").selectExpr(*_IN_COLS, "doc_id AS ordinal")
+    return resolve.upsert_in_order(d.filter("doc_id % 2 = 0").selectExpr(*_STORED_COLS), incoming, _UP_COLS, "ordinal")
+
+
 # ---- classification
 
 _WORDS = [
