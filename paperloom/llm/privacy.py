@@ -102,7 +102,7 @@ def occasions(docs: DataFrame) -> DataFrame:
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
-    """The number of documents of each term, as (term, n); the row with an empty term counts all documents."""
+    """The number of documents of each term, as (term, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,19 +111,20 @@ def term_documents(docs: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                 pairs = np.unique(owner * max(1, len(distinct)) + at)
                 n = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
-                yield pa.RecordBatch.from_arrays([pa.array([*distinct, ""], pa.string()), pa.array([*n.tolist(), part.num_rows], pa.int64())], names=["term", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(n.astype(np.int64))], names=["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def disclosing(docs: DataFrame, min_occasions: int = MIN_OCCASIONS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """term, disclosure and whether it is removed, for the terms that exceed the threshold."""
-    seen = occasions(docs).groupBy("entity", "term").agg(F.count_distinct("occasion").alias("k"))
+    # written once: it is read twice, and far smaller than the texts
+    seen = checkpointed(occasions(docs).groupBy("entity", "term").agg(F.count_distinct("occasion").alias("k")))
     strong = seen.filter((F.col("k") >= min_occasions) & (F.col("term") != "")).withColumnRenamed("k", "k_et")
     alone = seen.filter("term = ''").select("entity", F.col("k").alias("k_e"))
     df = term_documents(docs)
-    total = df.filter("term = ''").select(F.col("n").alias("n_all"))
-    joined = strong.join(alone, "entity").join(df.filter("term <> ''"), "term").crossJoin(total)
+    total = docs.agg(F.count(F.lit(1)).alias("n_all"))
+    joined = strong.join(alone, "entity").join(df, "term").crossJoin(total)
     ic = -F.log2(F.col("k_e") / F.col("n_all"))
     # a term has at least as many documents as it has occasions beside the entity
     pmi = F.log2(F.col("k_et") * F.col("n_all") / (F.col("k_e") * F.greatest("n", "k_et")))
