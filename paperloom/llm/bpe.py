@@ -17,6 +17,7 @@ exactly its own bytes; repeated rows get repeated results; other columns don't m
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -26,16 +27,16 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .words import slices, text_column
+from .words import release, slices, text_column
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space before a space: such a text isn't cut at its spaces but by the pattern as a whole.
 RUN_OF_SPACES = "[\\t-\\r\\x{1c}-\\x{20}\\x{85}\\p{Z}] "
-#: Distinct words whose tokens a worker remembers.
-CACHE = 600_000
+#: Distinct words whose tokens a worker remembers, in each of two generations.
+CACHE = 250_000
 #: Bytes of text decoded at once.
-DECODE_BYTES = 2 << 20
+DECODE_BYTES = 1 << 20
 
 
 class Bpe:
@@ -55,7 +56,7 @@ class Bpe:
         self.shorter = [next((self.ids[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ids), -1) for t in tokens]
         self.pairs: dict[tuple[int, int], int] = {}
         self.halves = [(i, i) for i in range(len(tokens))]
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         for i, t in enumerate(tokens):
             a = self.shorter[i]
             while a >= 0:
@@ -69,6 +70,7 @@ class Bpe:
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.starts = np.concatenate([[0], np.cumsum(self.length)]).astype(np.int64)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str = VOCABULARY, pattern: str = PATTERN) -> Bpe:
@@ -107,11 +109,28 @@ class Bpe:
         whole = self.ids.get(word)
         if whole is not None and (len(word) == 1 or self.halves[whole][0] != whole):
             return [whole]
-        longest: list[int] = [0] * len(word)
+        text = word.decode("latin-1")
         length, shorter, known = self.length, self.shorter, self.known
-        for end, token in self.automaton.iter(word.decode("latin-1")):
-            longest[end + 1 - length[token]] = token  # ends rise, so the longest comes last
+        # the longest matches one after the other, as long as each fits the one before
         out: list[int] = []
+        last, at = -1, -1
+        for end, token in self.automaton.iter_long(text):
+            if end - length[token] != at:
+                break
+            if last >= 0:
+                fits = known.get(last << 20 | token)
+                if fits is None:
+                    fits = known[last << 20 | token] = self.compatible(last, token)
+                if not fits:
+                    break
+            out.append(token)
+            last, at = token, end
+        if at == len(word) - 1:
+            return out
+        longest: list[int] = [0] * len(word)
+        for end, token in self.automaton.iter(text):
+            longest[end + 1 - length[token]] = token  # ends rise, so the longest comes last
+        out = []
         alive = bytearray(b"\x01") * (len(word) + 1)
         at, size, token = 0, len(word), longest[0]
         while at < size:
@@ -121,9 +140,9 @@ class Bpe:
                 if alive[end]:
                     if last < 0:
                         break
-                    fits = known.get((last, token))
+                    fits = known.get(last << 20 | token)
                     if fits is None:
-                        fits = known[last, token] = self.compatible(last, token)
+                        fits = known[last << 20 | token] = self.compatible(last, token)
                     if fits:
                         break
                 token = shorter[token]
@@ -141,16 +160,28 @@ class Bpe:
         return out
 
     def packed(self, word: str) -> bytes:
-        """The tokens of one piece as little-endian 32-bit integers, remembered."""
+        """The tokens of one piece of the pattern as 32-bit integers, remembered in two generations."""
         got = self.cache.get(word)
         if got is None:
+            got = self.older.get(word)
+            if got is None:
+                got = array("i", self.encode_word(word.encode("utf-8", "surrogatepass"))).tobytes()
             if len(self.cache) >= CACHE:
-                self.cache.clear()
-            if len(self.known) >= 4 * CACHE:
-                self.known.clear()
-            got = self.cache[word] = np.array(self.encode_word(word.encode("utf-8", "surrogatepass")), "<i4").tobytes()
+                self.older, self.cache = self.cache, {}
+                if len(self.known) >= 2 * CACHE:
+                    self.known.clear()
+            self.cache[word] = got
         return got
 
+    def packed_after_space(self, piece: str) -> bytes:
+        """The tokens of a space and what follows it up to the next space."""
+        if piece.isalpha():
+            return self.packed(" " + piece)
+        core = piece[:-1]
+        if core.isalpha():  # a word and one more character, which can't belong to it
+            return self.packed(" " + core) + self.packed(piece[-1])
+        return self.packed_text(" " + piece)
+
     def packed_text(self, text: str) -> bytes:
         return b"".join(map(self.packed, self.findall(text)))
 
@@ -171,7 +202,7 @@ class Bpe:
         first = np.asarray(parts.offsets).astype(np.int64)
         first -= first[0]
         coded = flat.dictionary_encode()
-        known = [self.packed_text(" " + p) for p in coded.dictionary.to_pylist()]
+        known = list(map(self.packed_after_space, coded.dictionary.to_pylist()))
         which = np.asarray(coded.indices).astype(np.int64)
         starts = first[:-1]  # splitting gives one piece at least
         which[starts] = len(known) + np.arange(n)
@@ -233,5 +264,6 @@ def encoded(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
                     [part.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(np.diff(offsets)), pa.array(same_bytes(bpe, text, offsets, ids))],
                     names=["doc_id", "token_ids", "n_tokens", "exact"],
                 )
+            release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, token_ids array<int>, n_tokens bigint, exact boolean")

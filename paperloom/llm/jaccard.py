@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .words import hashes, mix, slices, text_column, words
+from .words import hashes, mix, release, slices, text_column, words
 
 NGRAM = 3
 THRESHOLD = 0.5
@@ -131,6 +131,7 @@ def classes(docs: DataFrame, depth: int) -> DataFrame:
                     [pa.array(ids, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * TREES, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))],
                     names=["doc_id", "rep", "keys"],
                 )
+            release()
 
     made = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id bigint, rep bigint, keys array<bigint>")
     return made.groupBy("rep").agg(F.min("doc_id").alias("lead"), F.array_sort(F.collect_set("doc_id")).alias("members"), F.first("keys").alias("keys"))
