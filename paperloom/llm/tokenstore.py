@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import shared_path
 from .bpe import VOCABULARY, loaded
 from .eliasfano import EliasFano, read, write
-from .words import slices, text_column
+from .words import release, slices, text_column
 
+#: Bytes of text encoded at once: the more, the fewer words are met again.
+SLICE = 16 << 20
 SCHEMA = "doc_id bigint, shard int, place bigint, first_token bigint, n_tokens bigint, id_sum bigint"
 
 
@@ -76,11 +78,12 @@ def written(docs: DataFrame, folder: str | None = None, path: str = VOCABULARY)
         owners, sizes = [], []
         with open(other, "wb") as f:
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, "text", SLICE):
                     offsets, ids = bpe.encode_column(text_column(part))
                     f.write(ids.astype(f"<u{size}").tobytes())
                     owners.append(part.column(0))
                     sizes.append(np.diff(offsets))
+                release()
         if not owners:
             os.remove(other)
             return
