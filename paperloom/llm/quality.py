@@ -3,6 +3,12 @@
 Every metric is a built-in expression, so the whole decision stays inside the JVM: there is no
 shuffle, no user function and no second pass over the text.
 
+The ratio of distinct words falls with a text's length, however clean it is. A text below it is
+therefore rejected only if its windows of WINDOW words fall below it on average too (few words over
+and over), or if most of its runs of RUN words are repeats (a long passage over and over). Up to
+WINDOW words the first holds whenever the ratio itself is too low. The DuckDB SQL has the ratio
+alone, so the two may differ beyond WINDOW words.
+
 Defined results: a null text counts as empty; an empty text has no words and is rejected; a null
 ratio cannot occur because every denominator is at least 1. Repeated rows are judged one by one and
 all kept or all rejected. Other columns are carried along, also ones named like a metric.
@@ -11,6 +17,8 @@ all kept or all rejected. Other columns are carried along, also ones named like
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +44,23 @@ STOP_WORDS = tuple(
 
 @dataclass(frozen=True)
 class Rule:
-    """Keep when ``low <= metric <= high``; judged only from ``min_words`` words on."""
+    """Keep when ``low <= metric <= high``; judged only from ``min_words`` words on.
+
+    With ``confirmed``, it is broken only if one of those metrics is below its bound as well.
+    """
 
     name: str
     metric: str
     low: float | None = None
     high: float | None = None
     min_words: int = 0
+    confirmed: tuple[tuple[str, float], ...] = ()
+
 
+#: Words of a window, and of a run.
+WINDOW = 20_000
+RUN = 5
+LOW_VARIETY = 0.2
 
 #: The production table.
 RULES = (
@@ -53,7 +70,7 @@ RULES = (
     Rule("shouts", "shout_ratio", None, 0.3, 3),
     Rule("capitals", "upper_ratio", None, 0.5, 10),
     Rule("stop_words", "stop_ratio", 0.05, None, 50),
-    Rule("word_variety", "distinct_ratio", 0.2, None, 20),
+    Rule("word_variety", "distinct_ratio", LOW_VARIETY, None, 20, (("window_ratio", LOW_VARIETY), ("run_ratio", 0.5))),
     Rule("repeated_lines", "repeated_line_ratio", None, 0.5),
 )
 METRICS = (
@@ -80,6 +97,12 @@ def with_metrics(docs: DataFrame, out: str) -> DataFrame:
     chars = F.greatest(F.length(p["body"]), F.lit(1)).cast("double")
     n_lines = F.greatest(F.size(p["lines"]), F.lit(1)).cast("double")
     spaces = _removed(p["body"], SPACES)
+    distinct_ratio = F.size(F.array_distinct(p["words"])) / n1
+    # pairs of word and window, so that no lambda holds the array of words
+    in_windows = F.size(F.array_distinct(F.transform(p["words"], lambda w, i: F.xxhash64(w, F.floor(i / WINDOW)))))
+    shifted = F.arrays_zip(*[F.slice(p["words"], F.lit(k + 1), F.greatest(n - (RUN - 1), F.lit(0))).alias(f"w{k}") for k in range(RUN)])
+    runs = F.size(F.array_distinct(F.transform(shifted, lambda x: F.xxhash64(*[x[f"w{k}"] for k in range(RUN)]))))
+    low = distinct_ratio < LOW_VARIETY  # the two are needed, and made, for few texts only
     metrics = F.struct(
         n.cast("bigint").alias("n_words"),
         ((F.length(p["body"]) - spaces) / n1).alias("mean_word_length"),
@@ -87,8 +110,10 @@ def with_metrics(docs: DataFrame, out: str) -> DataFrame:
         (_removed(p["body"], SHOUTS) / n1).alias("shout_ratio"),
         (_removed(p["body"], UPPER) / chars).alias("upper_ratio"),
         (F.size(F.filter(p["words"], lambda w: w.isin(*STOP_WORDS))) / n1).alias("stop_ratio"),
-        (F.size(F.array_distinct(p["words"])) / n1).alias("distinct_ratio"),
+        distinct_ratio.alias("distinct_ratio"),
         (1.0 - F.greatest(F.size(F.array_distinct(p["lines"])), F.when(F.size(p["lines"]) == 0, 1).otherwise(0)) / n_lines).alias("repeated_line_ratio"),
+        F.when(low, in_windows / n1).otherwise(1.0).alias("window_ratio"),
+        F.when(low, runs / F.greatest(n - (RUN - 1), F.lit(1))).otherwise(1.0).alias("run_ratio"),
     )
     return staged.withColumn(out, metrics).drop(pre)
 
@@ -105,6 +130,8 @@ def compiled(metrics: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             bad = bad | (v > r.high)
         if r.min_words:
             bad = bad & (metrics["n_words"] >= r.min_words)
+        if r.confirmed:
+            bad = bad & reduce(or_, [metrics[name] < bound for name, bound in r.confirmed])
         broken.append(F.when(bad, F.lit(r.name)))
     return F.concat_ws(",", *broken)
 

@@ -25,6 +25,16 @@ def test_quality(make):
     assert quality.kept(docs.filter("doc_id < 0")).collect() == []
 
 
+def test_long_clean_texts_stay(make):
+    rng = random.Random(7)
+    clean = " ".join(f"w{rng.randint(0, 19_999):x}" if rng.random() < 0.6 else rng.choice(["the", "of"]) for _ in range(300_000))
+    small = " ".join(rng.choice(PROSE.lower().split()) for _ in range(150_000))
+    passage = " ".join(clean.split()[:12_000])  # varied in each window, but over and over
+    rows = {r["doc_id"]: r for r in quality.judged(make([clean, small, " ".join([passage] * 30)])).collect()}
+    assert all(r["distinct_ratio"] < 0.2 for r in rows.values())
+    assert [rows[i]["broken"] for i in range(3)] == ["", "word_variety", "word_variety"]
+
+
 def poisson(u, rate):
     k, p = 0, math.exp(-rate)
     c = p
