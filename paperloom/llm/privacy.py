@@ -116,6 +116,21 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def document_terms(keyed: DataFrame) -> DataFrame:
+    """(row, term) for the distinct terms of each text, split as everywhere else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                offsets, at, distinct = words(text_column(part))
+                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                pairs = np.unique(owner * max(1, len(distinct)) + at)
+                owner, at = np.divmod(pairs, max(1, len(distinct)))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(distinct, pa.string()).take(pa.array(at))], names=["row", "term"])
+
+    return keyed.mapInArrow(run, "row bigint, term string")
+
+
 def disclosing(docs: DataFrame, min_occasions: int = MIN_OCCASIONS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """term, disclosure and whether it is removed, for the terms that exceed the threshold."""
     # written once: it is read twice, and far smaller than the texts
@@ -185,8 +200,7 @@ def sanitised_documents(docs: DataFrame, counts: bool = False, broadcast_terms:
         known = None
         # each document's disclosing terms by an equi-join, then back to the document by its row key
         keyed = plain.withColumn("row", F.xxhash64(*[F.col(c).cast("string") for c in plain.columns]))
-        per = keyed.select("row", F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(f"c{place}"), F.lit(""))), "\\s+"))).alias("word"))
-        per = per.withColumn("term", F.regexp_replace("word", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")).distinct()
+        per = document_terms(keyed.select("row", F.col(f"c{place}").alias("text"))).distinct()
         per = per.join(terms, "term").groupBy("row").agg(F.map_from_entries(F.collect_set(F.struct("term", "removed"))).alias("terms"))
         plain = keyed.join(per, "row", "left").drop("row")
 

@@ -70,3 +70,10 @@ def test_documents(make):
 def test_copies_are_one_occasion(make):
     texts = ["the rare wordx met joe@mail.example.com in may"] * 50 + [f"clean {i}" for i in range(20)]
     assert privacy.disclosing(make(texts)).collect() == []
+
+
+def test_unicode_spaces(make):
+    texts = [*corpus(), "seen near\u00a0Zorblatt\u202fhere", "une\u3000Zorblatt\u00a0: oui"]
+    for n in (privacy.BROADCAST_TERMS, 0):  # the list of terms broadcast or joined
+        got = {r["doc_id"]: r["text"] for r in privacy.sanitised_documents(make(texts), broadcast_terms=n).collect()}
+        assert not any("Zorblatt" in (t or "") for t in got.values()), n
