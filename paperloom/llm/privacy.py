@@ -8,13 +8,13 @@ information IC(e) = -log2 P(e) when t occurs only with e. The disclosure of a te
 PMI(e; t) / IC(e) over the entities it occurs beside. At GENERALISE it is replaced by a class
 ('[NAME]', '[NUMBER]', '[TERM]'), at REMOVE it is taken out, in every document.
 
-Evidence is counted in occasions: distinct stretches of text (the terms around the entity), so that
-thousands of copies of one page count once, and a term needs MIN_OCCASIONS of them with the same
-entity; one coincidence says nothing. Term frequencies come from all documents.
+P(t), P(e) and P(e, t) all count documents, copies included. Besides, a term needs MIN_OCCASIONS
+occasions with the same entity, which are distinct stretches of text (the terms around the entity),
+so that thousands of copies of one page are one; one coincidence says nothing.
 
-The plan: one pass that finds entities and their surroundings (few rows leave it), one pass that
-counts every term's documents (pre-aggregated per batch), an equi-join of the two, and one pass that
-rewrites. The list of disclosing terms is counted; up to BROADCAST_TERMS it is broadcast, beyond that
+The plan: one pass that finds the entities with enough occasions, one that gathers the terms of
+these, one that counts every term's documents (pre-aggregated per batch), equi-joins, and one pass
+that rewrites. The list of disclosing terms is counted; up to BROADCAST_TERMS it is broadcast, beyond that
 it is joined by document. Nothing else is gathered.
 
 Defined results: null and empty texts stay as they are and count no term; repeated rows are counted
@@ -53,6 +53,8 @@ MIN_OCCASIONS = 3
 GENERALISE = 0.75
 REMOVE = 0.95
 BROADCAST_TERMS = 200_000
+#: Terms handed on at once; bounds memory, not results.
+BATCH_TERMS = 200_000
 TERM = regex.compile(r"\S+")
 
 
@@ -72,6 +74,11 @@ def hinted(text: pa.Array) -> list[int]:
 
 def surroundings(text: str) -> list[tuple[str, list[str]]]:
     """Each entity's key with the distinct terms around it, without other entities."""
+    return [(e, terms) for e, terms, _ in stretches(text)]
+
+
+def stretches(text: str) -> list[tuple[str, list[str], int]]:
+    """Each entity's key, the distinct terms around it without other entities, and a hash of them."""
     found = entities(text)
     out = []
     for n, (kind, a, b) in enumerate(found):
@@ -80,25 +87,48 @@ def surroundings(text: str) -> list[tuple[str, list[str]]]:
         # a word has 200 characters at most here; longer ones are no terms
         before = TERM.findall(text, max(lo, a - WINDOW * 200), a)[-WINDOW:]
         after = TERM.findall(text, b, min(hi, b + WINDOW * 200))[:WINDOW]
-        terms = {t for t in (trimmed(w.lower()) for w in before + after) if len(t) <= 200 and any(c.isalnum() for c in t)}
-        out.append((key(kind, text[a:b]), sorted(terms)))
+        terms = sorted({t for t in (trimmed(w.lower()) for w in before + after) if len(t) <= 200 and any(c.isalnum() for c in t)})
+        out.append((key(kind, text[a:b]), terms, int(hashes(["\n".join(terms)]).astype(np.int64)[0])))
     return out
 
 
+def evidence(text: str) -> Iterator[tuple[str, int, int, list[str]]]:
+    """entity, occasion, 1 where the document counts for the terms and else 0, terms ('' for the entity itself).
+
+    The document counts once for each pair of entity and term, however many stretches hold it.
+    """
+    seen: dict[str, set[str]] = {}
+    for e, terms, h in stretches(text):
+        known = seen.setdefault(e, set())
+        around = {"", *terms}
+        for new, part in ((1, around - known), (0, around & known)):
+            if part:
+                yield e, h, new, sorted(part)
+        known |= around
+
+
 def occasions(docs: DataFrame) -> DataFrame:
-    """entity, occasion (a hash of the surrounding terms) and each of the terms; '' marks the entity itself."""
+    """entity, occasion, document and terms as in ``evidence``, for all documents."""
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["entity", "occasion", "document", "terms"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
+            size = 0
             text = batch.column(0)
             for i in hinted(text):
-                for e, terms in surroundings(text[i].as_py()):
-                    h = hashes(["\n".join(terms)]).astype(np.int64)[0]
-                    rows += [(e, h, t) for t in ["", *terms]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["entity", "occasion", "term"])
+                for row in evidence(text[i].as_py()):
+                    rows.append(row)
+                    size += len(row[3])
+                    if size > BATCH_TERMS:
+                        yield table(rows)
+                        rows, size = [], 0
+            yield table(rows)
 
-    return docs.select("text").mapInArrow(run, "entity string, occasion bigint, term string")
+    return docs.select("text").mapInArrow(run, "entity string, occasion bigint, document bigint, terms array<string>")
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -133,15 +163,19 @@ def document_terms(keyed: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, min_occasions: int = MIN_OCCASIONS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """term, disclosure and whether it is removed, for the terms that exceed the threshold."""
+    found = occasions(docs)
+    # an entity with too few occasions has no term with enough; so most pairs needn't be grouped
+    alone = found.groupBy("entity").agg(F.count_distinct("occasion").alias("o"), F.sum(F.when(F.array_contains("terms", ""), F.col("document"))).alias("k_e"))
     # written once: it is read twice, and far smaller than the texts
-    seen = checkpointed(occasions(docs).groupBy("entity", "term").agg(F.count_distinct("occasion").alias("k")))
-    strong = seen.filter((F.col("k") >= min_occasions) & (F.col("term") != "")).withColumnRenamed("k", "k_et")
-    alone = seen.filter("term = ''").select("entity", F.col("k").alias("k_e"))
+    alone = checkpointed(alone.filter(F.col("o") >= min_occasions).select("entity", "k_e"))
+    pairs = found.join(alone, "entity", "left_semi").select("entity", "occasion", "document", F.explode("terms").alias("term")).filter("term != ''")
+    strong = pairs.groupBy("entity", "term").agg(F.count_distinct("occasion").alias("o"), F.sum("document").alias("k_et"))
+    strong = checkpointed(strong.filter(F.col("o") >= min_occasions).select("entity", "term", "k_et"))
     df = term_documents(docs)
     total = docs.agg(F.count(F.lit(1)).alias("n_all"))
     joined = strong.join(alone, "entity").join(df, "term").crossJoin(total)
     ic = -F.log2(F.col("k_e") / F.col("n_all"))
-    # a term has at least as many documents as it has occasions beside the entity
+    # terms glued to an entity are counted beside it, but not as words
     pmi = F.log2(F.col("k_et") * F.col("n_all") / (F.col("k_e") * F.greatest("n", "k_et")))
     share = F.when(ic > 0, pmi / ic).otherwise(0.0)
     return joined.groupBy("term").agg(F.max(share).alias("disclosure")).filter(F.col("disclosure") >= generalise).withColumn("removed", F.col("disclosure") >= remove)

@@ -77,3 +77,10 @@ def test_unicode_spaces(make):
     for n in (privacy.BROADCAST_TERMS, 0):  # the list of terms broadcast or joined
         got = {r["doc_id"]: r["text"] for r in privacy.sanitised_documents(make(texts), broadcast_terms=n).collect()}
         assert not any("Zorblatt" in (t or "") for t in got.values()), n
+
+
+def test_copies_dilute_nothing(make):
+    pages = [f"on day{i} the rare Wordx met joe@mail.example.com in place{i} again" for i in range(3)]
+    texts = pages * 20 + [f"clean page {i}" for i in range(400)]
+    got = {r["term"]: r["disclosure"] for r in privacy.disclosing(make(texts)).collect()}
+    assert abs(got["wordx"] - 1) < 1e-9
