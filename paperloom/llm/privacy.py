@@ -5,11 +5,12 @@ numbers, network addresses). They are always generalised to their class. Beyond
 tells which terms give an entity away: with P(t), P(e) and P(e, t) estimated from all documents, the
 pointwise mutual information PMI(e; t) = log2 P(e, t) / (P(e) P(t)) reaches the entity's whole
 information IC(e) = -log2 P(e) when t occurs only with e. The disclosure of a term is the largest
-PMI(e; t) / IC(e) over the entities it occurs beside. At GENERALISE it is replaced by a class
+PMI(e; t) / IC(e) over the entities it occurs with. At GENERALISE it is replaced by a class
 ('[NAME]', '[NUMBER]', '[TERM]'), at REMOVE it is taken out, in every document.
 
-P(t), P(e) and P(e, t) all count documents, copies included. Besides, a term needs MIN_OCCASIONS
-occasions with the same entity, which are distinct stretches of text (the terms around the entity),
+P(t), P(e) and P(e, t) all count documents, copies included; a term occurs with each entity of its
+document, however far away. Besides, a term needs MIN_OCCASIONS
+occasions with the same entity, which are distinct stretches of text (the WINDOW terms around the entity),
 so that thousands of copies of one page are one; one coincidence says nothing.
 
 The plan: one pass that finds the entities with enough occasions, one that gathers the terms of
@@ -24,6 +25,7 @@ are carried along by ``sanitised_documents``.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +49,7 @@ ENTITY = regex.compile(
     r"|(?P<NATIONAL>(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-]))"
     r"|(?P<PHONE>(?<![\p{L}\p{N}+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\p{L}\p{N}]))"
 )
-#: Words on either side of an entity that are its surroundings.
+#: Words on either side of an entity that tell its occasions apart; terms count from the whole text.
 WINDOW = 10
 MIN_OCCASIONS = 3
 GENERALISE = 0.75
@@ -72,24 +74,34 @@ def hinted(text: pa.Array) -> list[int]:
     return pc.indices_nonzero(pc.fill_null(pc.match_substring_regex(text, HINT), False)).to_pylist()
 
 
-def surroundings(text: str) -> list[tuple[str, list[str]]]:
-    """Each entity's key with the distinct terms around it, without other entities."""
-    return [(e, terms) for e, terms, _ in stretches(text)]
+def tokens(text: str, found: list[tuple[str, int, int]]) -> tuple[list[int], list[str]]:
+    """Places and terms of the words outside the entities, in order."""
+    at, parts = 0, []
+    for _, a, b in found:
+        parts += [text[at:a], " " * (b - a)]
+        at = b
+    places, terms = [], []
+    for m in TERM.finditer("".join([*parts, text[at:]])):
+        t = trimmed(m[0].lower())
+        if any(c.isalnum() for c in t):
+            places.append(m.start())
+            terms.append(t)
+    return places, terms
 
 
-def stretches(text: str) -> list[tuple[str, list[str], int]]:
-    """Each entity's key, the distinct terms around it without other entities, and a hash of them."""
+def surroundings(text: str) -> list[tuple[str, list[str]]]:
+    """Each entity's key with the distinct terms of the text, without other entities."""
     found = entities(text)
-    out = []
-    for n, (kind, a, b) in enumerate(found):
-        lo = found[n - 1][2] if n else 0
-        hi = found[n + 1][1] if n + 1 < len(found) else len(text)
-        # a word has 200 characters at most here; longer ones are no terms
-        before = TERM.findall(text, max(lo, a - WINDOW * 200), a)[-WINDOW:]
-        after = TERM.findall(text, b, min(hi, b + WINDOW * 200))[:WINDOW]
-        terms = sorted({t for t in (trimmed(w.lower()) for w in before + after) if len(t) <= 200 and any(c.isalnum() for c in t)})
-        out.append((key(kind, text[a:b]), terms, int(hashes(["\n".join(terms)]).astype(np.int64)[0])))
-    return out
+    terms = sorted(set(tokens(text, found)[1])) if found else []
+    return [(key(kind, text[a:b]), terms) for kind, a, b in found]
+
+
+def stretches(text: str, found: list[tuple[str, int, int]], places: list[int], terms: list[str]) -> Iterator[tuple[str, set[str], int]]:
+    """Each entity's key, the distinct terms within WINDOW words, and a hash of them."""
+    for kind, a, b in found:
+        i, j = bisect_left(places, a), bisect_left(places, b)
+        around = {*terms[max(0, i - WINDOW) : i], *terms[j : j + WINDOW]}
+        yield key(kind, text[a:b]), around, int(hashes(["\n".join(sorted(around))]).astype(np.int64)[0])
 
 
 def evidence(text: str) -> Iterator[tuple[str, int, int, list[str]]]:
@@ -97,14 +109,26 @@ def evidence(text: str) -> Iterator[tuple[str, int, int, list[str]]]:
 
     The document counts once for each pair of entity and term, however many stretches hold it.
     """
+    found = entities(text)
+    if not found:
+        return
+    places, terms = tokens(text, found)
     seen: dict[str, set[str]] = {}
-    for e, terms, h in stretches(text):
+    of: dict[str, set[int]] = {}
+    for e, around, h in stretches(text, found, places, terms):
         known = seen.setdefault(e, set())
-        around = {"", *terms}
+        of.setdefault(e, set()).add(h)
+        around.add("")
         for new, part in ((1, around - known), (0, around & known)):
             if part:
                 yield e, h, new, sorted(part)
         known |= around
+    whole = set(terms)
+    for e, known in seen.items():
+        if rest := whole - known:
+            # further away: all stretches of the entity here are one occasion, which copies share
+            h = of[e].pop() if len(of[e]) == 1 else int(hashes(["\n".join(map(str, sorted(of[e])))]).astype(np.int64)[0])
+            yield e, h, 1, sorted(rest)
 
 
 def occasions(docs: DataFrame) -> DataFrame:

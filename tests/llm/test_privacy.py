@@ -84,3 +84,15 @@ def test_copies_dilute_nothing(make):
     texts = pages * 20 + [f"clean page {i}" for i in range(400)]
     got = {r["term"]: r["disclosure"] for r in privacy.disclosing(make(texts)).collect()}
     assert abs(got["wordx"] - 1) < 1e-9
+
+
+def test_terms_far_away_and_behind_entities(make):
+    gap = " ".join("the of and to in was for on with as".split() * 4)
+    texts = [f"Farword {gap} p{i} Nearname joe@mail.example.com +1 (913) 555-3797 4094009243589165 q{i}" for i in range(4)] + [f"clean page {i} {gap}" for i in range(90)]
+    docs = make(texts)
+    got = {r["term"]: r["disclosure"] for r in privacy.disclosing(docs).collect()}
+    assert set(got) == set(brute(texts)) == {"farword", "nearname"}
+    pairs = docs.select("text").transform(privacy.occasions).collect()
+    card = {t for r in pairs if r["entity"].startswith("CARD") for t in r["terms"]}
+    assert {"nearname", "farword"} <= card
+    assert all("Farword" not in r["text"] and "Nearname" not in r["text"] for r in privacy.sanitised_documents(docs).collect())
