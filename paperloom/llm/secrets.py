@@ -17,6 +17,7 @@ twice is found twice; repeated rows are found each; other columns are carried al
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,9 +29,11 @@ from pyspark.sql import DataFrame
 NAMES = "token|secret|passw(?:or)?d|passwd|pwd|passphrase|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|client[_-]?secret|credential|bearer|signature"
 #: For Arrow: texts that may hold a candidate.
 HINT = r"(?i)(" + NAMES + r"|\b(?:AKIA|ASIA)[0-9A-Z]{16}|\bgh[opsu]_[0-9A-Za-z]{20}|\bxox[abprs]-|\beyJ[0-9A-Za-z_-]{10}|-----BEGIN )"
+#: What an unquoted value, or one whose quote isn't closed on its line, consists of; a quoted one may hold all but its quote.
 VALUE = r"[0-9A-Za-z+/_.~=-]{12,}+"
+UNQUOTED = regex.compile(VALUE)
 CANDIDATE = regex.compile(
-    r"(?P<assigned>(?i:(?<![A-Za-z])[A-Za-z0-9_.-]{0,40}(?:" + NAMES + r")[A-Za-z0-9_-]{0,20}+)[\"']?\s{0,4}(?:=>|:=|[=:]|\s)\s{0,4}(?P<quote>[\"'`]?)(?P<value>" + VALUE + r"))"
+    r"(?P<assigned>(?i:(?<![A-Za-z])[A-Za-z0-9_.-]{0,40}(?:" + NAMES + r")[A-Za-z0-9_-]{0,20}+)[\"']?\s{0,4}(?P<sign>=>|:=|[=:]|\s)\s{0,4}(?:(?P<quote>[\"'`])(?P<quoted>(?:(?!(?P=quote))[^\r\n]){12,}+)(?P=quote)|[\"'`]?(?P<value>" + VALUE + r")))"
     r"|(?P<cloud>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b)|(?P<forge>\bgh[opsu]_[0-9A-Za-z]{20,}+)|(?P<chat>\bxox[abprs]-[0-9A-Za-z-]{10,}+)"
     r"|(?P<web>\beyJ[0-9A-Za-z_-]{10,}+\.[0-9A-Za-z_-]{10,}+\.[0-9A-Za-z_-]{10,}+)"
     r"|(?P<pem>-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,30}PRIVATE KEY-----)"
@@ -49,9 +52,12 @@ IDENTIFIERS = (
 #: Bytes of text on either side that prime the compressor.
 AROUND = 4096
 LEVEL = 9
-#: A finding costs at least so many bytes, and this share of its length.
+#: A finding costs at least so many bytes, and this share of its length, or the entropy bound of its alphabet if that is less.
 MIN_BYTES = 12
 MIN_SHARE = 0.62
+ALPHABETS = tuple((math.log2(n) / 8, regex.compile(p)) for n, p in ((10, r"[0-9]+"), (16, r"[0-9a-f]+|[0-9A-F]+"), (26, r"[a-z]+|[A-Z]+")))
+#: Words of prose in a quoted value, with their punctuation; they aren't measured.
+WORD = regex.compile(r"(?<!\S)[\"'(\[]*(?:\p{Lu}?\p{Ll}*|\p{Lu}+)(?:['’-]\p{L}+)*[.,;:!?\"')\]]*(?!\S)")
 FINDINGS = "doc_id bigint, kind string, start bigint, length bigint, marginal_bytes bigint, share double, sha256 string"
 
 
@@ -68,18 +74,46 @@ def varied(value: str) -> bool:
     return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
 
 
+def bound(value: str) -> float:
+    """The least share of its length that a random string of the value's alphabet costs, MIN_SHARE at most."""
+    return min([MIN_SHARE, *(share for share, p in ALPHABETS if p.fullmatch(value))])
+
+
+def judged(text: str, a: int, b: int, measured: str) -> int:
+    """The novelty of the candidate between a and b, of which ``measured`` counts; 0 if it is no finding."""
+    value = text[a:b]
+    if not measured:
+        return 0
+    cost = novelty(measured, text[max(0, a - AROUND) : a].replace(value, ""), text[b : b + AROUND].replace(value, ""))
+    return cost if cost >= MIN_BYTES and cost >= bound(measured) * len(measured.encode("utf-8", "surrogatepass")) else 0
+
+
 def found(text: str) -> list[tuple[str, int, int, int]]:
     """Kind, start, end and novelty of each finding, in order."""
     out = []
-    for m in CANDIDATE.finditer(text):
-        shape = next((k for k in SHAPES if m[k]), None)
-        a, b = m.span("value") if shape is None else m.span()
-        value = text[a:b].rstrip("=.") if shape is None else text[a:b]
-        b = a + len(value)
-        if shape is None and not varied(value):
-            continue
-        cost = novelty(value, text[max(0, a - AROUND) : a], text[b : b + AROUND])
-        if cost >= MIN_BYTES and cost >= MIN_SHARE * len(value.encode("utf-8", "surrogatepass")):
+    at = 0
+    while m := CANDIDATE.search(text, at):
+        at = m.end()
+        if shape := next((k for k in SHAPES if m[k]), None):
+            a, b = m.span()
+            cost = judged(text, a, b, text[a:b])
+        else:
+            cost = 0
+            if m["quoted"] is not None:
+                a, b = m.span("quoted")
+                value = m["quoted"]
+                cost = judged(text, a, b, " ".join(WORD.sub("", value).split()) if any(c.isspace() for c in value) else value)
+                if not cost:
+                    at = a  # what begins the value or lies in it may be a finding
+            if not cost and (v := UNQUOTED.match(text, m.start("value") if m["quoted"] is None else a)):
+                a = v.start()
+                b = a + len(v[0].rstrip("=."))
+                # letters alone are a word or an identifier here; digits alone after a mere space are a number
+                if varied(text[a:b]) or (text[a:b].isdigit() and not m["sign"].isspace()):
+                    cost = judged(text, a, b, text[a:b])
+                    if cost:
+                        at = v.end()
+        if cost:
             out.append((shape or "assigned", a, b, cost))
     return out
 
