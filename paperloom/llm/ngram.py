@@ -5,8 +5,8 @@ as tries of three levels in memory-mapped files. Each level stores its word ids
 sequence, made monotone by adding, in each context's range, the last value of the range before; an
 Elias-Fano sequence of pointers gives the ranges. A word is found inside its context by a successor
 search relative to the context's base. Probabilities and back-off weights are quantised to a byte
-each. Bigrams and trigrams seen less than MIN_COUNT times are left out, their mass going to the
-back-off weight.
+each. Bigrams and trigrams seen less than MIN_COUNT times would be left out, their mass going to the
+back-off weight; at 1 all are kept.
 
     p(w | u v) = q3(u v w) + g2(u v) (q2(v w) + g1(v) p1(w))
 
@@ -40,7 +40,8 @@ from .words import hashes, mix, slices, text_column, words
 
 BOS, EOS, PAD, FIRST = 0, 1, 2, 3
 DISCOUNT = 0.75
-MIN_COUNT = 2
+#: All bigrams and trigrams, those seen once as well.
+MIN_COUNT = 1
 #: Steps a bit of the quantised probabilities and back-off weights; 255 is the least.
 STEPS_P, STEPS_G = 8, 16
 SLICE = 12 << 20

@@ -102,3 +102,11 @@ def test_empty_table_and_extra_columns(make):
     assert ngram.scored(docs, ngram.trained(docs)).collect() == []
     docs = make([(None, "a b a b"), (2, "a b")]).withColumnRenamed("lang", "n_tokens").withColumnRenamed("source", "shard")
     assert sorted(r["n_tokens"] for r in ngram.scored(docs, ngram.trained(docs)).collect()) == [3, 5]
+
+
+def test_counts_of_one_are_in_the_model(make, monkeypatch):
+    texts = ["the plain page of the set"] * 3 + ["a rare topic seen in the plain park", "the set of a rare kind"]
+    docs = make(texts)
+    rows = {r["doc_id"]: r["log2_probability"] for r in ngram.scored(docs, ngram.trained(docs)).collect()}
+    monkeypatch.setattr(ngram, "MIN_COUNT", 1)
+    assert all(abs(rows[i] - lp) < 1e-6 for i, lp in enumerate(x for _, x in brute(texts)))
