@@ -4,7 +4,9 @@ An Aho-Corasick automaton gives the longest token that starts at each byte. The
 and accepts it only if the pair (previous token, it) is compatible: byte-pair merging would leave
 just this border between the two. If not, it takes the next shorter prefix token, and if none is
 left it goes back by one token; a bit a byte marks positions from which no encoding goes on, so each
-is left at most once and the time is linear. The result equals exact merging in rank order.
+is left at most once and the time is linear. Tokens that merging never forms take no part, so the
+result equals exact merging in rank order. A vocabulary with a token that ranks before one it is
+merged from is refused.
 Decoding gathers bytes from one blob through a table of token offsets.
 
 Texts are cut where the vocabulary's pattern cuts them. A cut always lies before a space that follows
@@ -25,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .words import release, slices, text_column
 
+#: Where the setting ``spark.paperloom.vocabulary`` and the parameter are absent.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space before a space: such a text isn't cut at its spaces but by the pattern as a whole.
@@ -49,24 +52,28 @@ class Bpe:
             raise ValueError("the vocabulary needs distinct tokens and all single bytes")
         self.length = [len(t) for t in tokens]
         self.findall = regex.compile(pattern).findall
-        self.automaton = ahocorasick.Automaton()
-        for i, t in enumerate(tokens):
-            self.automaton.add_word(t.decode("latin-1"), i)
-        self.automaton.make_automaton()
-        self.shorter = [next((self.ids[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ids), -1) for t in tokens]
         self.pairs: dict[tuple[int, int], int] = {}
         self.halves = [(i, i) for i in range(len(tokens))]
         self.known: dict[int, bool] = {}
+        #: Whether merging can form the token at all; one that it can't is decoded, but never emitted.
+        self.formed = [n == 1 for n in self.length]
         for i, t in enumerate(tokens):
-            a = self.shorter[i]
-            while a >= 0:
-                b = self.ids.get(t[self.length[a] :], -1)
-                if 0 <= b < i and a < i and self.compatible(a, b):
+            for k in range(len(t) - 1, 0, -1):
+                a, b = self.ids.get(t[:k], -1), self.ids.get(t[k:], -1)
+                if 0 <= a < i and 0 <= b < i and self.formed[a] and self.formed[b] and self.compatible(a, b):
                     self.pairs[a, b] = i
                     self.halves[i] = (a, b)
+                    self.formed[i] = True
                     break
-                a = self.shorter[a]
-        self.known.clear()
+        if late := [t for i, t in enumerate(tokens) if not self.formed[i] and len(self.merged(t)) == 1]:
+            raise ValueError(f"{late[0]!r} ranks before a token that it is merged from")
+        self.automaton = ahocorasick.Automaton()
+        for i, t in enumerate(tokens):
+            if self.formed[i]:
+                self.automaton.add_word(t.decode("latin-1"), i)
+        self.automaton.make_automaton()
+        #: The longest formed token that is a proper prefix, or -1.
+        self.shorter = [next((j for k in range(len(t) - 1, 0, -1) if (j := self.ids.get(t[:k], -1)) >= 0 and self.formed[j]), -1) for t in tokens]
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.starts = np.concatenate([[0], np.cumsum(self.length)]).astype(np.int64)
         self.cache: dict[str, bytes] = {}
@@ -80,6 +87,16 @@ class Bpe:
             raise ValueError("ranks must run from 0 without gaps")
         return cls([t for _, t in ranked], pattern)
 
+    def merged(self, word: bytes) -> list[bytes]:
+        """Plain merging, the lowest rank first; only for tests of a vocabulary."""
+        parts = [bytes([b]) for b in word]
+        while len(parts) > 1:
+            rank, k = min((self.ids.get(a + b, len(self.ids)), k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == len(self.ids):
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return parts
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging keeps the border between the two tokens, found by undoing their merges, latest first."""
         limit = 1 << 60
@@ -107,8 +124,10 @@ class Bpe:
     def encode_word(self, word: bytes) -> list[int]:
         """Tokens of one piece of the pattern."""
         whole = self.ids.get(word)
-        if whole is not None and (len(word) == 1 or self.halves[whole][0] != whole):
+        if whole is not None and self.formed[whole]:
             return [whole]
+        if not word:
+            return []
         text = word.decode("latin-1")
         length, shorter, known = self.length, self.shorter, self.known
         # the longest matches one after the other, as long as each fits the one before
@@ -118,9 +137,9 @@ class Bpe:
             if end - length[token] != at:
                 break
             if last >= 0:
-                fits = known.get(last << 20 | token)
+                fits = known.get(last << 32 | token)
                 if fits is None:
-                    fits = known[last << 20 | token] = self.compatible(last, token)
+                    fits = known[last << 32 | token] = self.compatible(last, token)
                 if not fits:
                     break
             out.append(token)
@@ -140,9 +159,9 @@ class Bpe:
                 if alive[end]:
                     if last < 0:
                         break
-                    fits = known.get(last << 20 | token)
+                    fits = known.get(last << 32 | token)
                     if fits is None:
-                        fits = known[last << 20 | token] = self.compatible(last, token)
+                        fits = known[last << 32 | token] = self.compatible(last, token)
                     if fits:
                         break
                 token = shorter[token]
@@ -223,6 +242,11 @@ class Bpe:
         return self.blob[np.repeat(self.starts[ids] - (ends - count), count) + np.arange(int(ends[-1]) if len(ids) else 0)]
 
 
+def vocabulary(spark: SparkSession) -> str:
+    """The vocabulary's path: the setting ``spark.paperloom.vocabulary``, or VOCABULARY. All executors read it."""
+    return spark.conf.get("spark.paperloom.vocabulary", VOCABULARY) or VOCABULARY
+
+
 _LOADED: dict[str, Bpe] = {}
 
 
@@ -251,8 +275,9 @@ def same_bytes(bpe: Bpe, text: pa.Array, offsets: np.ndarray, ids: np.ndarray) -
     return ok
 
 
-def encoded(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, token_ids, n_tokens and whether the tokens decode to the text's own bytes."""
+    path = path or vocabulary(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_path
-from .bpe import VOCABULARY, loaded
+from .bpe import loaded, vocabulary
 from .eliasfano import EliasFano, read, write
 from .words import release, slices, text_column
 
@@ -62,12 +62,13 @@ def new_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(docs: DataFrame, folder: str | None = None, path: str = VOCABULARY) -> DataFrame:
+def written(docs: DataFrame, folder: str | None = None, path: str | None = None) -> DataFrame:
     """Writes the shards as it runs; a row a document, read back from the shard by select.
 
     id_sum is the sum of the ids that the shard holds for the document.
     """
     folder = folder or new_folder(docs.sparkSession)
+    path = path or vocabulary(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)

@@ -43,24 +43,72 @@ def test_any_text(vocabulary, exact, text):
     assert bytes(vocabulary.decode(got)) == text.encode()
 
 
-@settings(max_examples=80, deadline=None)
+def merged(b, word):
+    """Plain merging, the lowest rank first."""
+    parts = [bytes([x]) for x in word]
+    while True:
+        ranks = [b.ids.get(x + y, 1 << 30) for x, y in zip(parts, parts[1:])]
+        if not ranks or min(ranks) == 1 << 30:
+            return [b.ids[p] for p in parts]
+        k = ranks.index(min(ranks))
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
+class NoGreedy:
+    """An automaton without the greedy path's matches, so that backtracking does all."""
+
+    def __init__(self, automaton):
+        self.iter = automaton.iter
+
+    def iter_long(self, text):
+        return iter(())
+
+
+def both_paths(b, word):
+    greedy = b.encode_word(word)
+    automaton, b.automaton = b.automaton, NoGreedy(b.automaton)
+    backtracked = b.encode_word(word)
+    b.automaton = automaton
+    return greedy, backtracked
+
+
+SINGLE = [bytes([b]) for b in range(256)]
+
+
+@settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab", max_size=40), st.lists(st.text(alphabet="ab", min_size=2, max_size=5), max_size=8, unique=True))
 def test_small_vocabularies(word, more):
-    tokens = [bytes([b]) for b in range(256)]
+    tokens = list(SINGLE)
     for m in sorted(more, key=len):  # each a merge of two earlier ones
         raw = m.encode()
         if any(raw[:k] in tokens and raw[k:] in tokens for k in range(1, len(raw))):
             tokens.append(raw)
     small = bpe.Bpe(tokens)
-    parts = [bytes([b]) for b in word.encode()]
-    while True:  # merging by rank
-        ranks = [small.ids.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:])]
-        if not ranks or min(ranks) == 1 << 30:
-            break
-        k = ranks.index(min(ranks))
-        parts[k : k + 2] = [parts[k] + parts[k + 1]]
-    if word:
-        assert small.encode_word(word.encode()) == [small.ids[p] for p in parts]
+    for got in both_paths(small, word.encode()):
+        assert got == merged(small, word.encode())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abc", max_size=60), st.lists(st.text(alphabet="abc", min_size=2, max_size=6), max_size=25, unique=True))
+def test_any_merge_table(word, more):
+    """Also tokens in any rank order, most of which merging can't form."""
+    tokens = [*SINGLE, *(m.encode() for m in more)]
+    try:
+        small = bpe.Bpe(tokens)
+    except ValueError:  # a whole that ranks before its part
+        plain = type("Plain", (), {"ids": {t: i for i, t in enumerate(tokens)}})
+        assert any(merged(plain, t) == [i] for t, i in plain.ids.items() if len(t) > 2)
+        return
+    for got in both_paths(small, word.encode()):
+        assert got == merged(small, word.encode())
+    assert bytes(small.decode(small.encode_word(word.encode()))) == word.encode()
+
+
+def test_token_that_merging_cannot_form():
+    small = bpe.Bpe([*SINGLE, b"ab", b"bb", b"aa", b"aabb"])
+    for word in (b"aabb", b"aaaabb", b"aabbaabb", b"xaabby"):
+        assert set(map(tuple, both_paths(small, word))) == {tuple(merged(small, word))}
+    assert bytes(small.decode([259])) == b"aabb"  # it is decoded all the same
 
 
 def test_two_generations(vocabulary, exact, monkeypatch):
