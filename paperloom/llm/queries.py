@@ -23,7 +23,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of documents whose word 3-gram sets have a Jaccard similarity of 0.5 or more."""
+    """Every document's group and number of links by a Jaccard similarity of word 3-gram sets of 0.5 or more."""
     return jaccard.joined(table(spark, sf_dir, "documents"))
 
 
@@ -81,7 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     cols = "doc_id, text, lang, source, n_chars"
     return {
-        "op3_jaccard_join": jaccard.sql_pairs("documents"),
+        "op3_jaccard_join": jaccard.sql_links("documents"),
         "op6_mixing": mixing.sql_copies("documents", cols),
         "op10_quality": f"SELECT * EXCLUDE (broken) FROM ({quality.sql_body('documents', cols)}) WHERE broken = ''",
         "warc_read_back": "SELECT page_id, url, strlen(html)::BIGINT AS body_bytes, md5(html) AS body_md5, NULL::VARCHAR AS error FROM pages",
