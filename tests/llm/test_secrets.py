@@ -1,5 +1,11 @@
 import hashlib
+import math
 import random
+import re
+import string
+
+import pytest
+import zstandard
 
 from paperloom.llm import secrets
 
@@ -14,9 +20,89 @@ CASES = {
 CLEAN = ["", None, "password = changeme_password123", "token = your_token_here1", "the secret of the ation thinre", "card 4444333322221111", "api_key = os.environ1", "password: 12345678901234567890", "secret = aaaaaaaaaaaaaaaaaaaaaaaa1"]
 
 
+def cost_of(text, a, b, measured):
+    """Marginal bytes, compressed here."""
+    value = text[a:b]
+    around = (text[b : b + 4096].replace(value, "") + "\n" + text[max(0, a - 4096) : a].replace(value, "")).replace(measured, "")
+    primed = zstandard.ZstdCompressionDict(secrets.IDENTIFIERS + around.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    size = lambda raw: len(zstandard.ZstdCompressor(level=9, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False).compress(raw))
+    n, raw = size(measured.encode()) - size(b""), measured.encode()
+    floor = 12 if measured.isalpha() or measured.isdigit() else 8
+    share = next((bits / 8 for bits, kind in ((math.log2(10), "0-9"), (4, "0-9a-f"), (4, "0-9A-F"), (math.log2(26), "a-z"), (math.log2(26), "A-Z")) if re.fullmatch(f"[{kind}]+", measured)), 1)
+    return n if len(raw) >= floor and n >= floor and n >= min(0.62, share) * len(raw) else 0
+
+
+NAME = re.compile(f"(?i)({secrets.NAMES})")
+
+
+def assigned(text, at):
+    """The value of a sensitive name that begins here: (from, to, whether quoted, end), read character by character."""
+    m = NAME.match(text, at)
+    if not m:
+        return None
+    i = m.end()
+    while i < len(text) and (text[i] in "_-" or text[i].isascii() and text[i].isalnum()):
+        i += 1
+    for skip in (1, 0) if text[i : i + 1] and text[i] in "\"'" else (0,):
+        j = k = i + skip
+        while k < len(text) and text[k].isspace():
+            k += 1
+        sign = next((x for x in ("=>", ":=", "=", ":", ">") if text.startswith(x, k)), "")
+        if not sign and k == j:
+            continue
+        j = k + len(sign)
+        while j < len(text) and text[j].isspace():
+            j += 1
+        quote = text[j : j + 1]
+        if quote and quote in "\"'`":
+            end = text.find(quote, j + 1)
+            if end > j + 1 and not {"\n", "\r"} & set(text[j + 1 : end]):
+                return j + 1, end, True, end + 1
+            j += 1
+        k = j
+        while k < len(text) and not text[k].isspace() and text[k] not in "\"'`<>":
+            k += 1
+        if k > j:
+            return j, k, False, k
+    return None
+
+
+SHAPED = {"cloud": r"\b(AKIA|ASIA)[0-9A-Z]{16}\b", "forge": r"\bgh[opsu]_[0-9A-Za-z]{20,}", "chat": r"\bxox[abprs]-[0-9A-Za-z-]{10,}"}
+
+
 def naive(text):
-    """Every candidate judged one by one, without the hint."""
-    return [] if text is None else [(k, a, b, c) for k, a, b, c in secrets.found(text)]
+    """Every place of the text tried one by one: kind, start, end, cost."""
+    out, at = [], 0
+    while text and at < len(text):
+        if got := assigned(text, at):
+            a, b, quoted, at = got
+            cost = 0
+            if quoted:
+                value = text[a:b]
+                cost = cost_of(text, a, b, " ".join(secrets.WORD.sub("", value).split()) if len(value.split()) > 1 or value != value.strip() else value)
+            if not cost:
+                at = e = a
+                while e < len(text) and not text[e].isspace() and text[e] not in "\"'`<>":
+                    e += 1
+                if e > a:
+                    b = a + len(text[a:e].rstrip("=.,;:!?)]}"))
+                    if not re.search(NAME.pattern + r"[A-Za-z0-9_-]*[\"']?\s*(=>|:=|=|:)[^=\s]", text[a:b]):
+                        cost = cost_of(text, a, b, secrets.unspoken(text[a:b]))
+                        at = e if cost else at
+                else:
+                    at = got[3]
+            if cost:
+                out.append(("assigned", a, b, cost))
+            continue
+        for kind, pattern in SHAPED.items():
+            if m := re.compile(pattern).match(text, at):
+                at = m.end()
+                if cost := cost_of(text, *m.span(), m[0]):
+                    out.append((kind, *m.span(), cost))
+                break
+        else:
+            at += 1
+    return out
 
 
 def test_found_and_left_alone():
@@ -51,6 +137,48 @@ def test_query_equals_scan(make):
     assert secrets.findings(docs.filter("doc_id < 0")).collect() == []
 
 
+@pytest.mark.parametrize("form", ['password = "{}" and', "api_key: {} and", "TOKEN={}\n", '{{"clientSecret": "{}"}}', "the secret {} is", "<pwd>{}</pwd>", "https://joe:{}@host.example/db"])
+def test_recall(form):
+    """Planted random values of every alphabet and length are found, each where it lies."""
+    rng = random.Random(11)
+    alphabets = {"mixed": (string.ascii_letters + string.digits, 8, 40), "letters": (string.ascii_letters, 16, 40), "lower": (string.ascii_lowercase, 16, 40), "digits": (string.digits, 20, 40), "hex": ("0123456789abcdef", 20, 64), "marks": (string.ascii_letters + string.digits + "!#$%&*+-^~", 10, 40)}
+    for kind, (chars, low, high) in alphabets.items():
+        hit = 0
+        for _ in range(60):
+            v = "".join(rng.choice(chars) for _ in range(rng.randint(low, high)))
+            text = "some words of a page, " + form.format(v) + " more of it"
+            hit += v.rstrip("=.,;:!?)]}") in [text[a:b] for _, a, b, _ in secrets.found(text)]
+        assert hit >= (54 if kind in ("lower", "letters") else 57), (form, kind, hit)
+
+
+def test_prose_is_left_alone(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+        for _, a, b, _ in secrets.found(r["text"] or ""):
+            assert re.fullmatch("[0-9a-f]{20,}", r["text"][a:b]), r["text"][a:b]  # planted
+
+
+def test_corpus_identifiers(make):
+    secret = "qzvkxwpjtgbhrnyd"
+    code = [f"x{i} = {w}Reader.next_{w}_value({i})" for i in range(30) for w in ("alpha", "omega")]
+    texts = [*code, *[f"the same page says token{secret}_x = 5"] * 500, "prose only here", None, ""]
+    docs = make(texts)
+    got = secrets.corpus_identifiers(docs).removesuffix(secrets.IDENTIFIERS).decode().split()
+    assert set(got) == {"alpha", "omega", "Reader", "next", "value"}  # nothing of the page with 500 copies
+    assert secrets.corpus_identifiers(docs.filter("doc_id < 0")) == b" " + secrets.IDENTIFIERS
+    v = "ReaderalphaZomegaXnextQvalue9"
+    assert secrets.novelty(v, "", "", secrets.corpus_identifiers(docs)) < secrets.novelty(v, "", "")
+
+
+def test_overlaps_and_null_ids(make):
+    inner = 'token "password=x7Kq92LmZp04Tr8w" and secret: api_key=Zk8pQ2mvLx91 ghp_0123abcdEFGH4567ijklMNOP token ghp_9q8w7e6r5t4y3u2i1o0pASDF'
+    got = secrets.found(inner)
+    assert got == naive(inner) and len(got) == 4
+    assert all(x[2] <= y[1] for x, y in zip(got, got[1:]))
+    docs = make([(None, inner), (None, inner), (3, inner)])
+    assert [r["doc_id"] for r in secrets.findings(docs).orderBy("doc_id").collect()] == [None] * 8 + [3] * 4
+    assert len({r["text"] for r in secrets.redacted(docs).collect()}) == 1
+
+
 def test_any_alphabet_and_length():
     rng = random.Random(5)
     values = ["Xk9#mP2$vL8@qR5!", "Xk9# mP2$ vL8@ qR5!", "qzvkxwpjtgbhrnyd", "80394172650916384725"]
