@@ -92,12 +92,14 @@ def with_metrics(docs: DataFrame, out: str) -> DataFrame:
     pre = out + "_parts"
     staged = docs.withColumn(pre, F.struct(body.alias("body"), words.alias("words"), lines.alias("lines")))
     p = F.col(pre)
+    count = out + "_distinct"
+    staged = staged.withColumn(count, F.size(F.array_distinct(p["words"])))
     n = F.size(p["words"])
     n1 = F.greatest(n, F.lit(1)).cast("double")
     chars = F.greatest(F.length(p["body"]), F.lit(1)).cast("double")
     n_lines = F.greatest(F.size(p["lines"]), F.lit(1)).cast("double")
     spaces = _removed(p["body"], SPACES)
-    distinct_ratio = F.size(F.array_distinct(p["words"])) / n1
+    distinct_ratio = F.col(count) / n1
     # pairs of word and window, so that no lambda holds the array of words
     in_windows = F.size(F.array_distinct(F.transform(p["words"], lambda w, i: F.xxhash64(w, F.floor(i / WINDOW)))))
     shifted = F.arrays_zip(*[F.slice(p["words"], F.lit(k + 1), F.greatest(n - (RUN - 1), F.lit(0))).alias(f"w{k}") for k in range(RUN)])
@@ -115,7 +117,8 @@ def with_metrics(docs: DataFrame, out: str) -> DataFrame:
         F.when(low, in_windows / n1).otherwise(1.0).alias("window_ratio"),
         F.when(low, runs / F.greatest(n - (RUN - 1), F.lit(1))).otherwise(1.0).alias("run_ratio"),
     )
-    return staged.withColumn(out, metrics).drop(pre)
+    # a generator of one row: no filter is pushed below it, which would compute the metrics a second time
+    return staged.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(F.array(F.struct(metrics.alias(out)))))
 
 
 def compiled(metrics: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -150,6 +153,19 @@ def kept(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return with_metrics(docs, m).filter(compiled(F.col(m), rules) == "").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def measured(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The documents that break no rule, with their own columns and the metrics, whose names are lengthened where taken."""
+    m = free_name(docs, "q_metrics")
+    taken, named = {c.lower() for c in docs.columns}, []
+    for k in METRICS:
+        name = k
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        named.append(F.col(m)[k].alias(name))
+    return with_metrics(docs, m).filter(compiled(F.col(m), rules) == "").select(*[F.col(f"`{c}`") for c in docs.columns], *named)
+
+
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row a document: doc_id, each metric, ``broken`` and ``keep``."""
     m = free_name(docs, "q_metrics")

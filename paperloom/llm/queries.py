@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import table
 from . import bpe, jaccard, media, mixing, ngram, privacy, quality, secrets, tokenstore, warc
@@ -64,9 +63,7 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that break no quality rule, with their metrics."""
-    docs = table(spark, sf_dir, "documents")
-    x = quality.with_metrics(docs, "m")
-    return x.filter(quality.compiled(F.col("m")) == "").select(*docs.columns, *[F.col("m")[k].alias(k) for k in quality.METRICS])
+    return quality.measured(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -25,6 +25,17 @@ def test_quality(make):
     assert quality.kept(docs.filter("doc_id < 0")).collect() == []
 
 
+def test_metrics_are_computed_once(spark, make):
+    for df in (quality.measured(make([PROSE])), quality.kept(make([PROSE]))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_distinct") == 4 and plan.count("Generate") == 1, plan
+    clashing = make([PROSE, *JUNK]).withColumnRenamed("lang", "n_words").withColumnRenamed("source", "m")
+    got = quality.measured(clashing)
+    assert got.columns[:7] == [*clashing.columns, "n_words_", "mean_word_length"]
+    assert [(r["doc_id"], r["n_words"], r["m"]) for r in got.collect()] == [(0, "en", "s0")]
+    assert quality.measured(clashing.filter("doc_id < 0")).collect() == []
+
+
 def test_long_clean_texts_stay(make):
     rng = random.Random(7)
     clean = " ".join(f"w{rng.randint(0, 19_999):x}" if rng.random() < 0.6 else rng.choice(["the", "of"]) for _ in range(300_000))
