@@ -2,7 +2,8 @@
 
 A sequence of n non-decreasing integers below u takes about n * (2 + log2(u / n)) bits: the low bits
 packed, the high bits in unary. The rank directory, one 32-bit count a 64-bit word of the unary part,
-adds about one bit a value. All parts are plain arrays, so a sequence can be memory-mapped.
+adds about one bit a value, and the words that hold every SAMPLE-th one and zero, for select, two more at
+most. All parts are plain arrays, so a sequence can be memory-mapped.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 
@@ -24,6 +25,8 @@ for _b in range(256):
     _p = np.flatnonzero(_bits[_b])
     SELECT_IN_BYTE[_b, : len(_p)] = _p
 SPREAD = U64(0x0101010101010101)
+#: Ones or zeros between two samples (as a power of two), and words tried after a sample before a binary search.
+SAMPLE, STEPS = 5, 4
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,9 +74,9 @@ def select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
 class EliasFano:
     """A non-decreasing sequence below ``universe``."""
 
-    def __init__(self, n: int, universe: int, width: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray):
+    def __init__(self, n: int, universe: int, width: int, low: np.ndarray, high: np.ndarray, ranks: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
         self.n, self.universe, self.width = n, universe, width
-        self.low, self.high, self.ranks = low, high, ranks
+        self.low, self.high, self.ranks, self.ones, self.zeros = low, high, ranks, ones, zeros
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int | None = None) -> EliasFano:
@@ -90,20 +93,41 @@ class EliasFano:
             word = (at >> U64(6)).astype(np.int64)
             begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             high[word[begin]] = np.bitwise_or.reduceat(ONE << (at & U64(63)), begin)
-        ranks = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])[:-1].astype(np.uint32)
-        return cls(n, u, width, pack(v, width), high, ranks)
+        ranks = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])
+        empty = np.arange(size + 1) * 64 - ranks
+        samples = [(np.searchsorted(x, np.arange(0, max(1, int(x[-1])), 1 << SAMPLE), side="right") - 1).astype(np.uint32) for x in (ranks, empty)]
+        return cls(n, u, width, pack(v, width), high, ranks.astype(np.uint32), *samples)
+
+    def word(self, k: np.ndarray, samples: np.ndarray, before: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The word that holds the k-th one or zero; ``before`` counts those before a word."""
+        word = samples[k >> SAMPLE].astype(np.int64)
+        todo: np.ndarray | slice = slice(None)
+        for _ in range(STEPS):
+            later = before(word[todo] + 1) <= k[todo]
+            todo = np.flatnonzero(later) if isinstance(todo, slice) else todo[later]
+            if not len(todo):
+                return word
+            word[todo] += 1
+        # a long run: bisect up to the next sample
+        last = np.minimum((k[todo] >> SAMPLE) + 1, len(samples) - 1)
+        low, high = word[todo], np.where(last > k[todo] >> SAMPLE, samples[last].astype(np.int64), len(self.high) - 1)
+        while (low < high).any():
+            mid = (low + high + 1) >> 1
+            up = before(mid) <= k[todo]
+            low, high = np.where(up, mid, low), np.where(up, high, mid - 1)
+        word[todo] = low
+        return word
 
     def select1(self, k: np.ndarray) -> np.ndarray:
         """Bit place of the k-th one, for 0 <= k < n."""
-        word = np.searchsorted(self.ranks, k.astype(np.uint32), side="right") - 1
+        word = self.word(k, self.ones, lambda w: self.ranks[w].astype(np.int64))
         return word * 64 + select_in_word(self.high[word], k - self.ranks[word])
 
     def select0(self, k: np.ndarray) -> np.ndarray:
         """Bit place of the k-th zero, for 0 <= k <= universe >> width."""
-        if not hasattr(self, "_zeros"):
-            self._zeros = np.arange(len(self.ranks), dtype=np.int64) * 64 - self.ranks  # zeros before each word
-        word = np.searchsorted(self._zeros, k, side="right") - 1
-        return word * 64 + select_in_word(~self.high[word], k - self._zeros[word])
+        before = lambda w: w * 64 - self.ranks[w]
+        word = self.word(k, self.zeros, before)
+        return word * 64 + select_in_word(~self.high[word], k - before(word))
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The i-th values."""
@@ -119,8 +143,15 @@ class EliasFano:
         """First element and the one after the last of those with high part h (each at most universe >> width)."""
         begin = np.zeros(len(h), np.int64)
         later = h > 0
-        begin[later] = self.select0(h[later] - 1) - (h[later] - 1)
-        return begin, self.select0(h) - h
+        begin[later] = self.select0(h[later] - 1) + 1
+        # the next zero ends the bucket, mostly in the same word
+        word = begin >> 6
+        rest = ~self.high[word] >> (begin & 63).astype(U64)
+        end = begin + np.bitwise_count((rest & (~rest + ONE)) - ONE).astype(np.int64)
+        far = np.flatnonzero(rest == 0)
+        if len(far):
+            end[far] = self.select0(h[far])
+        return begin - h, end - h
 
     def lower_bound(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """In a bucket's range, the first element whose low part isn't below that of x, or ``end``.
@@ -167,15 +198,15 @@ class EliasFano:
         return out
 
     def parts(self, name: str) -> dict[str, np.ndarray]:
-        return {f"{name}.head": np.array([self.n, self.universe, self.width], U64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ranks": self.ranks}
+        return {f"{name}.head": np.array([self.n, self.universe, self.width], U64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ranks": self.ranks, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
 
     @classmethod
     def of(cls, arrays: Mapping[str, np.ndarray], name: str) -> EliasFano:
         n, u, w = (int(x) for x in arrays[f"{name}.head"])
-        return cls(n, u, w, arrays[f"{name}.low"], arrays[f"{name}.high"], arrays[f"{name}.ranks"])
+        return cls(n, u, w, arrays[f"{name}.low"], arrays[f"{name}.high"], arrays[f"{name}.ranks"], arrays[f"{name}.ones"], arrays[f"{name}.zeros"])
 
     def nbytes(self) -> int:
-        return self.low.nbytes + self.high.nbytes + self.ranks.nbytes
+        return sum(a.nbytes for a in (self.low, self.high, self.ranks, self.ones, self.zeros))
 
 
 def write(path: str, arrays: Mapping[str, np.ndarray]) -> None:

@@ -34,6 +34,17 @@ def test_crowded_range():
     assert e.nbytes() * 8 < 64 * len(v)
 
 
+def test_long_runs():
+    """Select after long runs of ones and of zeros."""
+    rng = np.random.default_rng(3)
+    v = np.sort(np.concatenate([rng.integers(2**30, 2**30 + 90, 20_000), rng.integers(0, 2**40, 900), rng.integers(2**39, 2**39 + 10**6, 5000)]).astype(np.uint64))
+    e = EliasFano.build(v)
+    assert (e.access(np.arange(len(v))) == v).all()
+    bits = np.unpackbits(e.high.view(np.uint8), bitorder="little")
+    assert (e.select0(np.arange(e.universe >> e.width)) == np.flatnonzero(bits == 0)[: e.universe >> e.width]).all()
+    assert (v[e.find(v)] == v).all() and (e.find(v) == np.searchsorted(v, v)).all()
+
+
 def test_files(tmp_path):
     e = EliasFano.build(np.array([3, 3, 9], np.uint64))
     write(str(tmp_path / "x"), e.parts("a") | {"q": np.array([1, 2], np.uint8), "none": np.zeros(0, np.int64)})
@@ -58,12 +69,12 @@ def brute(texts):
     total, d = sum(c1[w] for w in words), ngram.DISCOUNT
     unknown = d * len(words) / total / (len(words) + 1)
     p1 = {w: q((c1[w] - d) / total + unknown, ngram.STEPS_P) for w in words}
-    kept2 = {k: (n - d) / c1[k[0]] for k, n in c2.items() if n >= ngram.MIN_COUNT}
+    kept2 = {k: (n - d) / c1[k[0]] for k, n in c2.items()}
     followed = Counter()
     for k, n in c3.items():
         if k[2] != "<p>":
             followed[k[:2]] += n
-    kept3 = {k: (n - d) / followed[k[:2]] for k, n in c3.items() if n >= ngram.MIN_COUNT and k[2] != "<p>"}
+    kept3 = {k: (n - d) / followed[k[:2]] for k, n in c3.items() if k[2] != "<p>"}
     g1, g2 = Counter(), Counter()
     for k, x in kept2.items():
         g1[k[0]] += x
@@ -97,6 +108,38 @@ def test_scores_equal_brute_force(make):
         assert abs(got[i][1] - lp) <= 1e-6 * max(1, abs(lp)), (i, got[i], lp)
 
 
+def test_trigrams_of_a_slice():
+    import pyarrow as pa
+
+    texts = ["a b a b a b", "", "a b c", "a b a"]
+    s = ngram.Sequences.of(pa.array(texts))
+    want = Counter()
+    for t in texts:
+        w = ["<s>", *t.split(), "</s>", "<p>"]
+        want.update(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    small = sorted(zip(*(x.tolist() for x in s.trigrams())))
+    assert sorted(n for *_, n in small) == sorted(want.values())
+    s.ids = np.concatenate([s.ids, np.zeros(1 << 21, np.uint32)])  # too many words for one integer
+    assert sorted(zip(*(x.tolist() for x in s.trigrams()))) == small
+
+
+def test_many_shards_and_groups_of_them(make, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 9)) for _ in range(rng.randint(0, 80))) for _ in range(60)]
+    texts += ["the same line"] * 30  # a hot context
+    docs = make(texts)
+    for size, most, split in ((400, 1024, 2_000_000), (150, 4, 1)):
+        monkeypatch.setattr(ngram, "SHARD_BYTES", size)
+        monkeypatch.setattr(ngram, "WORD_SHARD_BYTES", 2 * size)
+        monkeypatch.setattr(ngram, "MAX_BLOCKS", most)
+        monkeypatch.setattr(ngram, "SPLIT", split)
+        model = ngram.trained(docs)
+        assert model.shards > 10 and (model.shards > most) == (most == 4)
+        got = {r["doc_id"]: r["log2_probability"] for r in ngram.scored(docs, model).collect()}
+        for i, (_, lp) in enumerate(brute(texts)):
+            assert abs(got[i] - lp) <= 1e-6 * max(1, abs(lp)), i
+
+
 def test_empty_table_and_extra_columns(make):
     docs = make([(1, "a b")]).filter("doc_id = 9")
     assert ngram.scored(docs, ngram.trained(docs)).collect() == []
@@ -104,9 +147,8 @@ def test_empty_table_and_extra_columns(make):
     assert sorted(r["n_tokens"] for r in ngram.scored(docs, ngram.trained(docs)).collect()) == [3, 5]
 
 
-def test_counts_of_one_are_in_the_model(make, monkeypatch):
+def test_counts_of_one_are_in_the_model(make):
     texts = ["the plain page of the set"] * 3 + ["a rare topic seen in the plain park", "the set of a rare kind"]
     docs = make(texts)
     rows = {r["doc_id"]: r["log2_probability"] for r in ngram.scored(docs, ngram.trained(docs)).collect()}
-    monkeypatch.setattr(ngram, "MIN_COUNT", 1)
     assert all(abs(rows[i] - lp) < 1e-6 for i, lp in enumerate(x for _, x in brute(texts)))
