@@ -66,7 +66,7 @@ def valued(codes: np.ndarray, steps: int) -> np.ndarray:
     return np.exp2(-np.arange(256) / steps)[codes]
 
 
-def word_ids(distinct: list[str]) -> np.ndarray:
+def word_ids(distinct: pa.Array) -> np.ndarray:
     h = (hashes(distinct) >> U64(32)).astype(np.uint32)
     return np.where(h < FIRST, h + FIRST, h).astype(np.uint32)
 

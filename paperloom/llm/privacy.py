@@ -101,7 +101,7 @@ def stretches(text: str, found: list[tuple[str, int, int]], places: list[int], t
     for kind, a, b in found:
         i, j = bisect_left(places, a), bisect_left(places, b)
         around = {*terms[max(0, i - WINDOW) : i], *terms[j : j + WINDOW]}
-        yield key(kind, text[a:b]), around, int(hashes(["\n".join(sorted(around))]).astype(np.int64)[0])
+        yield key(kind, text[a:b]), around, int(hashes(pa.array(["\n".join(sorted(around))])).astype(np.int64)[0])
 
 
 def evidence(text: str) -> Iterator[tuple[str, int, int, list[str]]]:
@@ -127,7 +127,7 @@ def evidence(text: str) -> Iterator[tuple[str, int, int, list[str]]]:
     for e, known in seen.items():
         if rest := whole - known:
             # further away: all stretches of the entity here are one occasion, which copies share
-            h = of[e].pop() if len(of[e]) == 1 else int(hashes(["\n".join(map(str, sorted(of[e])))]).astype(np.int64)[0])
+            h = of[e].pop() if len(of[e]) == 1 else int(hashes(pa.array(["\n".join(map(str, sorted(of[e])))])).astype(np.int64)[0])
             yield e, h, 1, sorted(rest)
 
 
@@ -165,7 +165,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                 pairs = np.unique(owner * max(1, len(distinct)) + at)
                 n = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
-                yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(n.astype(np.int64))], names=["term", "n"])
+                yield pa.RecordBatch.from_arrays([distinct, pa.array(n.astype(np.int64))], names=["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -180,7 +180,7 @@ def document_terms(keyed: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                 pairs = np.unique(owner * max(1, len(distinct)) + at)
                 owner, at = np.divmod(pairs, max(1, len(distinct)))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(distinct, pa.string()).take(pa.array(at))], names=["row", "term"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), distinct.take(pa.array(at))], names=["row", "term"])
 
     return keyed.mapInArrow(run, "row bigint, term string")
 
@@ -271,7 +271,7 @@ def sanitised_documents(docs: DataFrame, counts: bool = False, broadcast_terms:
                 terms_of: dict | list = table
                 if table:
                     offsets, at, distinct = words(pc.fill_null(text, ""))
-                    hit = np.array([w in table for w in distinct], bool)
+                    hit = np.array([w in table for w in distinct.to_pylist()], bool)
                     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                     touched |= set(np.unique(owner[hit[at]]).tolist())
             else:

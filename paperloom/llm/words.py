@@ -1,8 +1,8 @@
 """Vectorised word splitting for Arrow text columns.
 
 Words are what whitespace separates in the lower-cased text, without punctuation at either end (a
-word of punctuation alone stays as it is). Only distinct words are touched by Python; everything
-else is Arrow and numpy over whole columns.
+word of punctuation alone stays as it is). Splitting, trimming and hashing are Arrow and numpy over
+whole columns; Python touches only words of more than 32 bytes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import regex
 import xxhash
 
 TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
-EDGE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
+EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+EDGE = regex.compile(EDGES)
 #: Punctuation that is tried before the pattern.
 COMMON = ".,;:!?\"'()"
 #: Bytes of text handled at once inside a task; bounds memory, not results.
@@ -54,28 +55,45 @@ def trimmed(word: str) -> str:
     return core if core.isalpha() else EDGE.sub("", word) or word
 
 
-def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Offsets of each text's words, index of each word, and the distinct words."""
     parts = pc.utf8_split_whitespace(pc.utf8_lower(text))
-    flat = parts.flatten()
-    filled = pc.greater(pc.binary_length(flat), 0)
-    keep = np.asarray(filled)
+    coded = parts.flatten().dictionary_encode()
     offsets = np.asarray(parts.offsets).astype(np.int64)
     offsets -= offsets[0]
-    if not keep.all():
-        offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
-        flat = flat.filter(filled)
-    coded = flat.dictionary_encode()
-    raw = coded.dictionary.to_pylist()
-    distinct: dict[str, int] = {}
-    to = np.fromiter((distinct.setdefault(trimmed(w), len(distinct)) for w in raw), np.int64, len(raw))
-    return offsets, to[np.asarray(coded.indices)] if len(raw) else np.zeros(0, np.int64), list(distinct)
-
-
-def hashes(distinct: list[str]) -> np.ndarray:
+    raw, at = coded.dictionary, np.asarray(coded.indices)
+    # an empty piece, or white space that Arrow leaves at the end of a text, is no word
+    blank = np.asarray(pc.or_(pc.utf8_is_space(raw), pc.equal(pc.binary_length(raw), 0)))
+    if blank.any():
+        keep = ~blank[at]
+        offsets, at = np.concatenate([[0], np.cumsum(keep)])[offsets], at[keep]
+        to = np.cumsum(~blank) - 1
+        at, raw = to[at], raw.filter(pa.array(~blank))
+    core = pc.replace_substring_regex(raw, EDGES, "")
+    distinct = pc.if_else(pc.equal(pc.binary_length(core), 0), raw, core).dictionary_encode()
+    return offsets, np.asarray(distinct.indices).astype(np.int64)[at], distinct.dictionary
+
+
+def hashes(distinct: pa.Array) -> np.ndarray:
     """64-bit hashes of the words."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w.encode("utf-8", "surrogatepass")) for w in distinct), np.uint64, len(distinct))
+    n = len(distinct)
+    if not n:
+        return np.zeros(0, np.uint64)
+    _, offsets, data = distinct.buffers()
+    at = np.frombuffer(offsets, np.int32)[distinct.offset : distinct.offset + n + 1].astype(np.int64)
+    size = np.diff(at)
+    raw = np.concatenate([np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(raw, 8)
+    out = mix(size.astype(np.uint64))
+    for k in range(0, 32, 8):
+        live = np.flatnonzero(size > k)
+        part = np.ascontiguousarray(eight[at[live] + k]).view("<u8").ravel()
+        rest = np.minimum(size[live] - k, 8).astype(np.uint64)
+        part = part << (np.uint64(64) - rest * np.uint64(8))  # nothing of the next word
+        out[live] = mix(out[live] * np.uint64(0x9E3779B97F4A7C15) + part)
+    for i in np.flatnonzero(size > 32).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[at[i] : at[i + 1]].tobytes())
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
