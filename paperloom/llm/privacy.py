@@ -18,9 +18,10 @@ these, one that counts every term's documents (pre-aggregated per batch), equi-j
 that rewrites. The list of disclosing terms is counted; up to BROADCAST_TERMS it is broadcast, beyond that
 it is joined by document. Nothing else is gathered.
 
-Defined results: null and empty texts stay as they are and count no term; repeated rows are counted
-each in term frequencies and rewritten alike; an empty table gives an empty result; other columns
-are carried along by ``sanitised_documents``.
+Defined results: null and empty texts stay as they are and count no term; texts, terms and addresses
+may have any length; repeated rows are counted each in term frequencies and rewritten alike, as are rows
+with a null doc_id; an empty table gives an empty result; other columns are carried along by
+``sanitised_documents``.
 """
 
 from __future__ import annotations
@@ -41,9 +42,14 @@ from .words import hashes, slices, text_column, trimmed, words
 
 #: For Arrow: texts that may hold an entity.
 HINT = r"@|[0-9][0-9 ().-]{5,}[0-9]|[0-9]\.[0-9]|[0-9a-fA-F]:[0-9a-fA-F]*:"
-ENTITY = regex.compile(
-    r"(?P<MAIL>[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8})"
-    r"|(?P<NETWORK>(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{N}]|\.\p{N}))"
+LOCAL = r"[\p{L}\p{N}._%+-]"
+BEFORE = regex.compile(f"(?r){LOCAL}++")
+DOMAIN = regex.compile(r"@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++")
+IN_MAIL = regex.compile(f"{LOCAL}*+{DOMAIN.pattern}")
+#: Where an entity may begin: entities other than mail addresses begin where a run of digits does, or just before.
+ANCHOR = regex.compile(r"@|[+(]?\d++|[A-Z]{2}(?=\d)")
+NUMBER = regex.compile(
+    r"(?P<NETWORK>(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{N}]|\.\p{N}))"
     r"|(?P<ACCOUNT>(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![\p{L}\p{N}]))"
     r"|(?P<CARD>(?<![\p{L}\p{N}-])(?:\d{4}[ -]?){3}\d{4}(?![\p{L}\p{N}-]))"
     r"|(?P<NATIONAL>(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-]))"
@@ -61,8 +67,22 @@ TERM = regex.compile(r"\S+")
 
 
 def entities(text: str) -> list[tuple[str, int, int]]:
-    """Class, start and end of each entity, in order."""
-    return [(m.lastgroup or "", *m.span()) for m in ENTITY.finditer(text)]
+    """Class, start and end of each entity, in order; where two meet, the one that begins first."""
+    out: list[tuple[str, int, int]] = []
+    end = 0
+    for m in ANCHOR.finditer(text):
+        a = m.start()
+        if m[0] == "@":
+            if a >= end and (tail := DOMAIN.match(text, a)) and (head := BEFORE.match(text, end, a)):
+                out.append(("MAIL", head.start(), tail.end()))
+                end = tail.end()
+            continue
+        for at in (a, a + 1) if m[0][0] in "+(" else (a,):
+            if at >= end and (n := NUMBER.match(text, at)) and not IN_MAIL.match(text, n.end()):
+                out.append((n.lastgroup or "", *n.span()))
+                end = n.end()
+                break
+    return out
 
 
 def key(kind: str, value: str) -> str:
@@ -155,6 +175,16 @@ def occasions(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "entity string, occasion bigint, document bigint, terms array<string>")
 
 
+def of_documents(offsets: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each document with each of its distinct terms."""
+    x = (np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * max(1, n) + at).astype(np.uint64)
+    x.sort()
+    if len(x):
+        x = x[np.concatenate([[True], x[1:] != x[:-1]])]
+    owner, term = np.divmod(x.view(np.int64), max(1, n))
+    return owner, term
+
+
 def term_documents(docs: DataFrame) -> DataFrame:
     """The number of documents of each term, as (term, n)."""
 
@@ -162,9 +192,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", 32 << 20):
                 offsets, at, distinct = words(text_column(part))
-                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                pairs = np.unique(owner * max(1, len(distinct)) + at)
-                n = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
+                n = np.bincount(of_documents(offsets, at, len(distinct))[1], minlength=len(distinct))
                 yield pa.RecordBatch.from_arrays([distinct, pa.array(n.astype(np.int64))], names=["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
@@ -177,9 +205,7 @@ def document_terms(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 offsets, at, distinct = words(text_column(part))
-                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-                pairs = np.unique(owner * max(1, len(distinct)) + at)
-                owner, at = np.divmod(pairs, max(1, len(distinct)))
+                owner, at = of_documents(offsets, at, len(distinct))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), distinct.take(pa.array(at))], names=["row", "term"])
 
     return keyed.mapInArrow(run, "row bigint, term string")
@@ -237,11 +263,13 @@ def _rewritten_column(text: pa.Array, terms_of: list[dict[str, bool]] | dict[str
     e, t = np.zeros(len(text), np.int32), np.zeros(len(text), np.int32)
     if not touched:
         return text, e, t
-    values = text.to_pylist()
+    new = {}
     for i in touched:
-        if values[i] is not None:
-            values[i], e[i], t[i] = rewrite(values[i], terms_of if isinstance(terms_of, dict) else terms_of[i])
-    return pa.array(values, text.type), e, t
+        if (value := text[i].as_py()) is not None:
+            new[i], e[i], t[i] = rewrite(value, terms_of if isinstance(terms_of, dict) else terms_of[i])
+    mask = np.zeros(len(text), bool)
+    mask[list(new)] = True
+    return pc.replace_with_mask(text, pa.array(mask), pa.array([new[i] for i in sorted(new)], text.type)), e, t
 
 
 def sanitised_documents(docs: DataFrame, counts: bool = False, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
@@ -264,7 +292,7 @@ def sanitised_documents(docs: DataFrame, counts: bool = False, broadcast_terms:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, f"c{place}")):
             text = batch.column(place)
             touched = set(hinted(text))
             if table is not None:

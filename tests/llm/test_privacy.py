@@ -1,6 +1,10 @@
 import math
 from collections import Counter, defaultdict
 
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from paperloom.llm import privacy
 from paperloom.llm.words import trimmed
 
@@ -96,3 +100,34 @@ def test_terms_far_away_and_behind_entities(make):
     card = {t for r in pairs if r["entity"].startswith("CARD") for t in r["terms"]}
     assert {"nearname", "farword"} <= card
     assert all("Farword" not in r["text"] and "Nearname" not in r["text"] for r in privacy.sanitised_documents(docs).collect())
+
+
+ALL = regex.compile(
+    r"(?P<MAIL>[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++)|" + privacy.NUMBER.pattern
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["joe", ".", "@", "mail.example", ".com", " ", "+1 ", "(826) ", "555-", "7388", "196.3.67.149", "DE44", "4094", " 0092 ", "4358-9165", "123-45-6789", "é", "-", "(", "+"]), max_size=14))
+def test_entities_equal_one_pattern(parts):
+    """The anchored search against one pattern tried at every place."""
+    text = "".join(parts)
+    assert privacy.entities(text) == [(m.lastgroup, *m.span()) for m in ALL.finditer(text)]
+
+
+def test_long_repeated_and_null_rows(make):
+    texts = corpus()
+    long = "the of and " * 60_000 + "Zorblatt joe" + "x" * 300 + "@mail.example.com " + "t" * 500
+    term = [f"{'q' * 400} wrote {f} boss@corp.example.org n{f} on x" for f in ("in", "at", "by", "or")]
+    rows = [*enumerate(texts), (None, texts[0]), (0, texts[0]), (900, long), *enumerate(term, 950)]
+    for n in (privacy.BROADCAST_TERMS, 0):
+        got = privacy.sanitised_documents(make(rows), counts=True, broadcast_terms=n).collect()
+        assert len(got) == len(rows) and sum(r["terms"] for r in got) > 0
+        by = {}
+        for r in got:
+            by.setdefault(r["doc_id"], set()).add(r["text"])
+        assert by[None] == by[0] and len(by[0]) == 1
+        (whole,) = by[900]
+        assert "Zorblatt" not in whole and "x" * 300 not in whole and whole.endswith("[MAIL] " + "t" * 500) and len(whole) > 500_000
+        assert not any("q" * 400 in t for d in range(950, 954) for t in by[d])  # a term of any length
+
