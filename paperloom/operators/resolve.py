@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, clean_doi, incoming_wins, normalize_doi_stored, stored_wins
+from ..session import checkpointed
 
 #: Columns whose stored value survives a blank one.
 GUARDED = ("abstract", "pdf_url", "url")
@@ -64,45 +65,15 @@ def insert_absent(stored: DataFrame, incoming: DataFrame, key: list[str], order:
     return stored.unionByName(fresh)
 
 
-def match_stored(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """in_id, match_id: the stored paper of each record, by catalogue id, else DOI, else preprint id."""
-    a = incoming.select(F.col("id").alias("in_id"), blank_to_null(F.col("openalex_id")).alias("k1"), blank_to_null(normalize_doi_stored(clean_doi(F.col("doi")))).alias("k2"), blank_to_null(F.col("arxiv_id")).alias("k3"))
-    b = stored.select("id", blank_to_null(F.col("openalex_id")).alias("k1"), blank_to_null(normalize_doi_stored(F.col("doi"))).alias("k2"), blank_to_null(F.col("arxiv_id")).alias("k3"))
-    out = a
-    for k in ("k1", "k2", "k3"):
-        out = out.join(b.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(f"m_{k}")), k, "left")
-    return out.select("in_id", F.coalesce("m_k1", "m_k2", "m_k3").alias("match_id"))
-
-
-def upsert(stored: DataFrame, incoming: DataFrame, redirects: DataFrame, columns: list[str]) -> DataFrame:
-    """The store after a batch in which no two records meet (the fast path).
-
-    A matched paper takes every provided column, but keeps guarded ones against blanks; a record
-    without match whose keys were merged away only fills blanks of the winner; others are inserted.
-    """
-    found = match_stored(incoming, stored)
-    unmatched = found.filter("match_id IS NULL").select(F.col("in_id").alias("id")).join(incoming, "id")
-    sent = redirect_winner(unmatched, redirects).join(stored.select(F.col("id").alias("new_id")), "new_id").select(F.col("record_id").alias("in_id"), F.col("new_id").alias("fill_id"))
-    routed = found.join(sent, "in_id", "left").select("in_id", "match_id", "fill_id", F.coalesce("match_id", "fill_id").alias("target"))
-    values = incoming.withColumn("doi", clean_doi(F.col("doi"))).select(F.col("id").alias("in_id"), *[F.col(c).alias(f"in_{c}") for c in columns])
-    full = routed.join(values, "in_id")
-    updates = full.filter("target IS NOT NULL").withColumn("_rn", F.row_number().over(Window.partitionBy("target").orderBy(F.col("match_id").isNull(), "in_id"))).filter("_rn = 1")
-    joined = stored.join(updates, stored["id"] == updates["target"], "left")
-    merged = [
-        F.when(F.col("match_id").isNotNull(), incoming_wins(F.col(f"in_{c}"), stored[c], c in GUARDED))
-        .when(F.col("fill_id").isNotNull(), stored_wins(F.col(f"in_{c}"), stored[c]) if dict(stored.dtypes)[c] == "string" else F.coalesce(stored[c], F.col(f"in_{c}")))
-        .otherwise(stored[c]).alias(c)
-        for c in columns
-    ]
-    fresh = full.filter("target IS NULL").select(F.col("in_id").alias("id"), *[F.col(f"in_{c}").alias(c) for c in columns])
-    return joined.select(stored["id"], *merged).unionByName(fresh)
+def tagged_keys(df: DataFrame) -> list[Column]:
+    """k1, k2, k3: catalogue id, stored DOI and preprint id, each marked as such and null where blank."""
+    tag = lambda mark, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(mark), c))
+    return [tag("o:", F.col("openalex_id")).alias("k1"), tag("d:", normalize_doi_stored(clean_doi(F.col("doi")))).alias("k2"), tag("a:", F.col("arxiv_id")).alias("k3")]
 
 
 def _components(rows: DataFrame) -> DataFrame:
-    """node, grp: connected components of records and papers over shared keys, by least labels."""
-    from ..session import checkpointed
-
-    keyed = checkpointed(rows.select("node", F.explode(F.array_distinct(F.filter(F.array("k1", "k2", "k3"), lambda k: k.isNotNull()))).alias("k")))
+    """node, grp: connected components of nodes (node, keys) over shared keys, by least labels."""
+    keyed = checkpointed(rows.select("node", F.explode("keys").alias("k")).distinct())
     labels = checkpointed(rows.select("node", F.col("node").alias("grp")))
     while True:
         per_key = keyed.join(labels, "node").groupBy("k").agg(F.min("grp").alias("least"))
@@ -113,43 +84,110 @@ def _components(rows: DataFrame) -> DataFrame:
         labels = new.select("node", "grp")
 
 
-def upsert_in_order(stored: DataFrame, incoming: DataFrame, columns: list[str], ordinal: str) -> DataFrame:
-    """The store after a batch taken record by record, each seeing what earlier ones wrote.
+def _collapsed(records: DataFrame, columns: list[str], ordinal: str) -> DataFrame:
+    """Records with the same keys as one a group: the last values, and of guarded columns the first, first and last that aren't blank."""
+    aggs = [F.min_by("id", ordinal).alias("id"), F.first("winner").alias("winner"), *[F.first(k).alias(k) for k in ("k1", "k2", "k3")]]
+    for c in columns:
+        if c in GUARDED:
+            filled = F.when(F.coalesce(F.col(c), F.lit("")) != "", F.struct(F.col(ordinal).alias("o"), F.col(c).alias("v")))
+            aggs += [F.min(F.struct(F.col(ordinal).alias("o"), F.col(c).alias("v")))["v"].alias(f"f_{c}"), F.min(filled)["v"].alias(f"n_{c}"), F.max(filled)["v"].alias(f"i_{c}")]
+        else:
+            aggs.append(F.max(F.struct(F.col(ordinal).alias("o"), F.col(c).alias("v")))["v"].alias(f"i_{c}"))
+    return records.groupBy("grp").agg(*aggs)
 
-    Records and papers that share a key (directly or through others) form a component; components are
-    independent, so each is folded in arrival order in one task. Merges of the past aren't consulted.
-    """
-    names = ["id", *columns]
 
-    def keys(df: DataFrame, side: str) -> DataFrame:
-        tagged = lambda c, k: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(k), c))
-        order = F.col(ordinal).cast("bigint") if side == "i" else F.lit(-1).cast("bigint")
-        return df.select(F.concat(F.lit(side), "id").alias("node"), order.alias("ord"), *names, tagged(F.col("openalex_id"), "o:").alias("k1"), tagged(normalize_doi_stored(clean_doi(F.col("doi"))), "d:").alias("k2"), tagged(F.col("arxiv_id"), "a:").alias("k3"))
-
-    cleaned = incoming.withColumn("doi", clean_doi(F.col("doi")))
-    both = keys(stored, "s").unionByName(keys(cleaned, "i"))
-    grouped = both.join(_components(both.select("node", "k1", "k2", "k3")), "node")
-    blank = (None, "")
+def _applied(papers: DataFrame, records: DataFrame, columns: list[str]) -> DataFrame:
+    """Papers (with keys) after collapsed records of which no two meet."""
+    found = records
+    for k in ("k1", "k2", "k3"):
+        found = found.join(papers.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(f"m_{k}")), k, "left")
+    found = checkpointed(found.withColumn("match_id", F.coalesce("m_k1", "m_k2", "m_k3")))
+    updates = found.filter("match_id IS NOT NULL").select(F.col("match_id").alias("u_id"), *[F.col(f"i_{c}").alias(f"u_{c}") for c in columns])
+    guarded = [c for c in columns if c in GUARDED]
+    fills = found.filter("match_id IS NULL AND winner IS NOT NULL").select(F.col("winner").alias("w_id"), *[F.col(f"n_{c}").alias(f"w_{c}") for c in guarded])
+    joined = papers.join(updates, F.col("id") == F.col("u_id"), "left").join(fills, F.col("id") == F.col("w_id"), "left")
+    merged = []
+    for c in columns:
+        value = F.when(F.col("u_id").isNotNull(), incoming_wins(F.col(f"u_{c}"), F.col(c), c in GUARDED)).otherwise(F.col(c))
+        merged.append((F.when(F.col("w_id").isNotNull(), stored_wins(F.col(f"w_{c}"), value)).otherwise(value) if c in GUARDED else value).alias(c))
+    fresh = found.filter("match_id IS NULL AND winner IS NULL").select("id", *[(F.coalesce(f"i_{c}", f"f_{c}") if c in GUARDED else F.col(f"i_{c}")).alias(c) for c in columns])
+    return joined.select("id", *merged).unionByName(fresh)
+
+
+def _fold(columns: list[str]):  # noqa: ANN202
+    """One component's papers after its records, one by one; a lookup by key, no sorting in between."""
+    names, blank = ["id", *columns], (None, "")
 
     def fold(part):  # noqa: ANN001, ANN202
         import pandas as pd
 
         rows = part.astype(object).where(part.notna(), None).sort_values(["ord", "node"]).to_dict("records")
         store: dict[str, dict] = {}
+        by_key: dict[str, set[str]] = {}
+
+        def index(r: dict) -> None:
+            for k in ("k1", "k2", "k3"):
+                if r[k] is not None:
+                    by_key.setdefault(r[k], set()).add(r["id"])
+
         for r in rows:
-            if r["ord"] < 0:
-                store[r["id"]] = r
-                continue
-            hit = next((s for k in ("k1", "k2", "k3") if r[k] is not None for s in sorted(store.values(), key=lambda x: x["id"]) if s[k] == r[k]), None)
+            hit = None
+            if r["ord"] >= 0:
+                ids = next((ids for k in ("k1", "k2", "k3") if r[k] is not None and (ids := by_key.get(r[k]))), None)
+                hit = store[min(ids)] if ids else None
+                if hit is None and r["winner"] is not None:
+                    if (won := store.get(r["winner"])) is not None:
+                        for c in columns:
+                            if c in GUARDED:
+                                won[c] = won[c] if won[c] not in blank else r[c] if r[c] not in blank else None
+                    continue
             if hit is None:
                 store[r["id"]] = r
+                index(r)
                 continue
+            for k in ("k1", "k2", "k3"):
+                if hit[k] is not None:
+                    by_key[hit[k]].discard(hit["id"])
+                hit[k] = r[k]
             for c in columns:
                 if c not in GUARDED or r[c] not in blank:
                     hit[c] = r[c]
-            for k in ("k1", "k2", "k3"):
-                hit[k] = r[k]
+            index(hit)
         return pd.DataFrame([[s[c] for c in names] for s in store.values()], columns=names, dtype=object)
 
+    return fold
+
+
+def upsert(stored: DataFrame, incoming: DataFrame, redirects: DataFrame, columns: list[str], ordinal: str) -> DataFrame:
+    """The store after a batch taken record by record in order of ``ordinal`` (distinct, not negative), each seeing earlier writes.
+
+    A record that meets a paper by catalogue id, else DOI, else preprint id (the least id where several
+    do) writes every column, but guarded ones only where it isn't blank. One that meets none and was
+    merged away only fills blanks of the guarded columns of its winner, and is dropped where the winner
+    is gone. Any other is inserted. Ids of records are new and distinct.
+
+    Papers without a key of the batch pass through. The others and the records form components over
+    shared keys and winners. Where all records of a component have the same keys, however many, they are
+    collapsed by an aggregate and joined; only components in which different keys meet are folded in order, each in one task.
+    """
+    columns = [c for c in columns if c != "id"]
+    cleaned = incoming.withColumn("doi", clean_doi(F.col("doi")))
+    won = redirect_winner(cleaned, redirects).select(F.col("record_id").alias("id"), F.col("new_id").alias("winner"))
+    records = cleaned.join(won, "id", "left").select("id", "winner", F.col(ordinal).cast("bigint").alias("ord"), *[F.col(c) for c in columns], *tagged_keys(cleaned))
+    links = lambda *more: F.array_distinct(F.filter(F.array("k1", "k2", "k3", *more), lambda k: k.isNotNull()))
+    records = checkpointed(records.withColumn("node", F.concat(F.lit("i"), "id")).withColumn("keys", links(F.concat(F.lit("w:"), "winner"))))
+    papers = stored.select("id", *columns, *tagged_keys(stored)).withColumn("node", F.concat(F.lit("s"), "id")).withColumn("keys", links(F.concat(F.lit("w:"), "id")))
+    asked = records.select(F.explode("keys").alias("k")).distinct()
+    touched_ids = papers.select("id", F.explode("keys").alias("k")).join(asked, "k", "left_semi").select("id").distinct()
+    touched = checkpointed(papers.join(touched_ids, "id", "left_semi"))
+    passed = stored.select("id", *columns).join(touched.select("id"), "id", "left_anti")
+    grouped = _components(touched.select("node", "keys").unionByName(records.select("node", "keys")))
+    records, touched = records.join(grouped, "node"), touched.join(grouped, "node")
+    same = F.when(F.size("keys") > 0, F.concat_ws("\0", *[F.coalesce(k, F.lit("")) for k in ("k1", "k2", "k3")])).otherwise(F.col("id"))
+    mixed = checkpointed(records.groupBy("grp").agg((F.min(same) != F.max(same)).alias("m")).filter("m").select("grp"))
+    simple = _applied(touched.join(mixed, "grp", "left_anti").select("id", *columns, "k1", "k2", "k3"), _collapsed(records.join(mixed, "grp", "left_anti"), columns, "ord"), columns)
+    shape = ["grp", "node", "id", "winner", "ord", *columns, "k1", "k2", "k3"]
+    both = touched.withColumn("winner", F.lit(None).cast("string")).withColumn("ord", F.lit(-1).cast("bigint")).select(*shape).unionByName(records.select(*shape)).join(mixed, "grp", "left_semi")
     kinds = dict(stored.dtypes)
-    return grouped.groupBy("grp").applyInPandas(fold, ", ".join(f"`{c}` {kinds[c]}" for c in names))
+    folded = both.groupBy("grp").applyInPandas(_fold(columns), ", ".join(f"`{c}` {kinds[c]}" for c in ["id", *columns]))
+    return passed.unionByName(simple).unionByName(folded)

@@ -340,34 +340,47 @@ def ranking_upsert(spark, sf_dir):
 
 
 _STORED_COLS = [
-    "concat('p', doc_id) AS id", "CASE WHEN doc_id % 8 = 0 THEN NULL ELSE concat('W', doc_id - doc_id % 2) END AS openalex_id", "concat('10.3000/', doc_id - doc_id % 2) AS doi",
-    "concat('2402.', doc_id) AS arxiv_id", "CASE WHEN doc_id % 6 = 0 THEN '' ELSE substr(text, 1, 50) END AS abstract", "substr(text, 1, 20) AS title", "doc_id AS citation_count",
+    "concat('p', doc_id) AS id", "CASE WHEN doc_id % 8 = 0 THEN NULL ELSE concat('W', doc_id) END AS openalex_id", "concat('10.3000/', doc_id) AS doi",
+    "concat('2402.', doc_id) AS arxiv_id", "CASE WHEN doc_id % 6 = 0 THEN '' ELSE text END AS abstract", "concat('Title ', doc_id, ' of ', source) AS title", "doc_id AS citation_count",
 ]
+#: Of odd documents: those ending in 1, 3, 5 meet a paper, in 7 a redirect by one of its keys, in 9 nothing.
 _IN_COLS = [
-    "concat('n', doc_id) AS id", "CASE WHEN doc_id % 5 = 1 THEN NULL ELSE concat('W', doc_id - doc_id % 2) END AS openalex_id", "concat('https://doi.org/10.3000/', doc_id - doc_id % 2) AS doi",
-    "concat('2402.', doc_id) AS arxiv_id", "CASE WHEN doc_id % 3 = 0 THEN '' ELSE substr(text, 5, 40) END AS abstract", "CASE WHEN doc_id % 7 = 0 THEN NULL ELSE substr(text, 3, 20) END AS title", "doc_id AS citation_count",
+    "CASE WHEN doc_id % 10 < 7 THEN CASE WHEN doc_id % 5 = 1 THEN NULL ELSE concat('W', doc_id - 1) END WHEN doc_id % 10 = 9 THEN concat('Z', doc_id) WHEN doc_id % 3 = 0 THEN concat('V', doc_id - 1 - (doc_id - 1) % 3) END AS openalex_id",
+    "CASE WHEN doc_id % 10 < 7 THEN concat('https://doi.org/10.3000/', doc_id - 1) WHEN doc_id % 10 = 7 AND doc_id % 3 = 2 THEN concat(' doi:10.2000/Y', doc_id - 1 - (doc_id - 1) % 6) END AS doi",
+    "CASE WHEN doc_id % 10 < 7 THEN concat('2402.', doc_id) WHEN doc_id % 10 = 7 AND doc_id % 3 = 1 THEN concat('2301.', doc_id - 1) END AS arxiv_id",
 ]
+_IN_FIRST = ["concat('n', doc_id) AS id", *_IN_COLS, "CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS abstract", "CASE WHEN doc_id % 7 = 0 THEN NULL ELSE concat('Newer title of ', lang) END AS title", "doc_id AS citation_count", "doc_id AS ord"]
+_IN_AGAIN = ["concat('m', doc_id) AS id", *_IN_COLS, "CASE WHEN doc_id % 4 = 1 THEN NULL ELSE concat('again ', text) END AS abstract", "concat('Newest title of ', lang) AS title", "doc_id + 5 AS citation_count", "doc_id + 1000000000 AS ord"]
 _UP_COLS = ["openalex_id", "doi", "arxiv_id", "abstract", "title", "citation_count"]
-
-
-@query(f"""WITH stored AS (SELECT {', '.join(_STORED_COLS)} FROM documents WHERE doc_id % 2 = 0), inc AS (SELECT {', '.join(_IN_COLS)} FROM documents WHERE doc_id % 2 = 1),
-  m AS (SELECT i.*, coalesce((SELECT min(s.id) FROM stored s WHERE s.openalex_id = i.openalex_id), (SELECT min(s.id) FROM stored s WHERE {D.stored_doi('s.doi')} = {D.stored_doi(D.clean_doi('i.doi'))}), (SELECT min(s.id) FROM stored s WHERE s.arxiv_id = i.arxiv_id)) AS mid FROM inc i)
-  SELECT s.id, CASE WHEN mid IS NULL THEN s.openalex_id ELSE m.openalex_id END AS openalex_id, CASE WHEN mid IS NULL THEN s.doi ELSE {D.clean_doi('m.doi')} END AS doi, CASE WHEN mid IS NULL THEN s.arxiv_id ELSE m.arxiv_id END AS arxiv_id,
-    CASE WHEN mid IS NULL THEN s.abstract ELSE coalesce(nullif(m.abstract, ''), s.abstract) END AS abstract, CASE WHEN mid IS NULL THEN s.title ELSE m.title END AS title, CASE WHEN mid IS NULL THEN s.citation_count ELSE m.citation_count END AS citation_count
-  FROM stored s LEFT JOIN m ON mid = s.id UNION ALL SELECT id, openalex_id, {D.clean_doi('doi')}, arxiv_id, abstract, title, citation_count FROM m WHERE mid IS NULL""")
+_PICK = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY ord {way}) AS n FROM mw WHERE {w}) WHERE n = 1"
+
+
+@query(f"""WITH {V.SQL['redirects']}, stored AS (SELECT {', '.join(_STORED_COLS)} FROM documents WHERE doc_id % 2 = 0),
+  inc AS (SELECT {', '.join(_IN_FIRST)} FROM documents WHERE doc_id % 2 = 1 UNION ALL SELECT {', '.join(_IN_AGAIN)} FROM documents WHERE doc_id % 10 IN (3, 7, 9)),
+  rec AS (SELECT * REPLACE ({D.clean_doi('doi')} AS doi) FROM inc), {_HITS.format(src='rec')}, won AS ({_WINNER}),
+  m AS (SELECT i.*, coalesce((SELECT min(s.id) FROM stored s WHERE s.openalex_id = i.openalex_id), (SELECT min(s.id) FROM stored s WHERE {D.stored_doi('s.doi')} = {D.stored_doi('i.doi')}), (SELECT min(s.id) FROM stored s WHERE s.arxiv_id = i.arxiv_id)) AS mid FROM rec i),
+  mw AS (SELECT m.*, new_id AS win FROM m LEFT JOIN won ON record_id = m.id),
+  u AS ({_PICK.format(k='mid', w='mid IS NOT NULL', way='DESC')}), ua AS ({_PICK.format(k='mid', w="mid IS NOT NULL AND abstract <> ''", way='DESC')}),
+  f AS ({_PICK.format(k='win', w="mid IS NULL AND win IS NOT NULL AND abstract <> ''", way='')}),
+  i AS ({_PICK.format(k='openalex_id', w='mid IS NULL AND win IS NULL', way='')}), il AS ({_PICK.format(k='openalex_id', w='mid IS NULL AND win IS NULL', way='DESC')}), ia AS ({_PICK.format(k='openalex_id', w="mid IS NULL AND win IS NULL AND abstract <> ''", way='DESC')})
+  SELECT s.id, {', '.join(f'CASE WHEN u.id IS NULL THEN s.{c} ELSE u.{c} END AS {c}' for c in _UP_COLS if c != 'abstract')}, coalesce(ua.abstract, nullif(s.abstract, ''), f.abstract) AS abstract
+  FROM stored s LEFT JOIN u ON u.mid = s.id LEFT JOIN ua ON ua.mid = s.id LEFT JOIN f ON f.win = s.id
+  UNION ALL SELECT i.id, {', '.join(f'il.{c}' for c in _UP_COLS if c != 'abstract')}, ia.abstract FROM i JOIN il USING (openalex_id) LEFT JOIN ia USING (openalex_id)""")
 def paper_upsert(spark, sf_dir):
+    """A batch of which some meet papers, some winners of merges (also gone ones), some nothing; many come twice."""
     d = table(spark, sf_dir, "documents")
-    stored = d.filter("doc_id % 2 = 0").selectExpr(*_STORED_COLS)
-    incoming = d.filter("doc_id % 2 = 1").selectExpr(*_IN_COLS)
-    return resolve.upsert(stored, incoming, V.redirects(spark, sf_dir), _UP_COLS)
+    incoming = d.filter("doc_id % 2 = 1").selectExpr(*_IN_FIRST).unionByName(d.filter("doc_id % 10 IN (3, 7, 9)").selectExpr(*_IN_AGAIN))
+    out = resolve.upsert(d.filter("doc_id % 2 = 0").selectExpr(*_STORED_COLS), incoming, V.redirects(spark, sf_dir), _UP_COLS, "ord")
+    return out.withColumn("abstract", text.blank_to_null(F.col("abstract")))
 
 
 @query(None)
 def paper_upsert_in_order(spark, sf_dir):
-    """Records that meet each other, folded in order; a test compares with a sequential version."""
+    """Records with different keys that meet each other and redirects; a test compares with a sequential version."""
     d = table(spark, sf_dir, "documents")
-    incoming = d.filter("doc_id % 2 = 1").selectExpr(*_IN_COLS, "doc_id AS ordinal")
-    return resolve.upsert_in_order(d.filter("doc_id % 2 = 0").selectExpr(*_STORED_COLS), incoming, _UP_COLS, "ordinal")
+    keys = ["CASE WHEN doc_id % 5 = 1 THEN NULL ELSE concat('W', doc_id - doc_id % 4) END AS openalex_id", "CASE WHEN doc_id % 3 = 1 THEN concat('10.2000/y', doc_id - doc_id % 6) ELSE concat('10.3000/', doc_id - doc_id % 6) END AS doi", "concat('2402.', doc_id - doc_id % 9) AS arxiv_id"]
+    incoming = d.filter("doc_id % 2 = 1").selectExpr(_IN_FIRST[0], *keys, *_IN_FIRST[4:])
+    return resolve.upsert(d.filter("doc_id % 2 = 0").selectExpr(*_STORED_COLS), incoming, V.redirects(spark, sf_dir), _UP_COLS, "ord")
 
 
 # ---- classification

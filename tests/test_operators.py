@@ -2,43 +2,74 @@
 
 import random
 
+import pytest
+
 from paperloom.operators import dedup, recover, resolve
 from paperloom.sources import records
 from paperloom.streaming import ingest
 
-COLS = ["openalex_id", "doi", "arxiv_id", "abstract", "title"]
+COLS = ["openalex_id", "doi", "arxiv_id", "abstract", "title", "url"]
 SCHEMA = "id string, " + ", ".join(f"{c} string" for c in COLS)
 
 
-def fold(stored, incoming):
+def fold(stored, incoming, redirects):
     """Record by record, as written down."""
     key = lambda d: d.lower().strip().removeprefix("https://doi.org/") if d else None
     store = {r[0]: dict(zip(["id", *COLS], r)) for r in stored}
     for r in incoming:
         new = dict(zip(["id", *COLS], r))
-        hit = None
-        for c, f in (("openalex_id", str), ("doi", key), ("arxiv_id", str)):
+        hit, winner = None, None
+        for n, (c, f) in enumerate((("openalex_id", str), ("doi", key), ("arxiv_id", str))):
             if new[c] and hit is None:
                 hit = next((s for s in sorted(store.values(), key=lambda x: x["id"]) if s[c] and f(s[c]) == f(new[c])), None)
-        if hit is None:
-            store[new["id"]] = new
-        else:
+            if new[c] and winner is None:
+                old = [x for x in redirects if x[n] and f(x[n]) == f(new[c])]
+                winner = min(old, key=lambda x: (x[4] is not None, -(x[4] or 0), x[3]))[3] if old else None
+        if hit is not None:
             for c in COLS:
-                if c != "abstract" or new[c]:
+                if c not in resolve.GUARDED or new[c]:
                     hit[c] = new[c]
+        elif winner is None:
+            store[new["id"]] = new
+        elif winner in store:
+            for c in ("abstract", "url"):
+                store[winner][c] = store[winner][c] or new[c]
     return sorted(tuple(s.values()) for s in store.values())
 
 
-def test_upsert_in_order(spark):
-    rng = random.Random(7)
-    for _ in range(3):
-        pick = lambda p, n: rng.choice([None, "", *[f"{p}{i}" for i in range(n)]])
-        stored = [(f"s{i:02}", f"w{i}", f"10.1/{i}" if i % 2 else None, None, rng.choice([None, "", "old"]), "t") for i in range(6)]
-        incoming = [(f"t{i:02}", pick("w", 9), pick("10.1/", 7), pick("a", 5), rng.choice([None, "", f"new{i}"]), f"u{i}") for i in range(14)]
-        df = spark.createDataFrame([(*r, i) for i, r in enumerate(incoming)], SCHEMA + ", ord_in int")
-        got = resolve.upsert_in_order(spark.createDataFrame(stored, SCHEMA), df, COLS, "ord_in")
-        norm = lambda rows: sorted(tuple("" if v is None else v for v in r) for r in rows)
-        assert norm(tuple(r) for r in got.collect()) == norm(fold(stored, incoming))
+@pytest.mark.parametrize("seed", range(4))
+def test_upsert_equals_folding(spark, seed):
+    """Random records that meet papers, redirects and one another, on all paths."""
+    rng = random.Random(seed)
+    few = seed % 2  # few keys: components of different keys; else mostly alone or repeated
+    pick = lambda p, n: rng.choice([None, "", *[f"{p}{i}" for i in range(n)]])
+    stored = [(f"s{i:02}", f"w{i}", f"10.1/{i}" if i % 2 else None, None, rng.choice([None, "", "old"]), "t", rng.choice([None, "", "u"])) for i in range(8)]
+    red = [(pick("W", 4), pick("10.2/", 4), pick("A", 4), rng.choice(["s01", "s02", "s05", "gone"]), rng.choice([None, 1, 2])) for _ in range(8)]
+    rows = []
+    for i in range(40):
+        kind = rng.choice(["paper", "redirect", "new", "again"])
+        if few:
+            keys = (pick(rng.choice("wW"), 9), pick(rng.choice(["10.1/", "10.2/"]), 7), pick("aA"[i % 2], 5))
+        elif kind == "again" and rows:
+            keys = rng.choice(rows)[1:4]
+        else:
+            keys = {"paper": (f"w{rng.randint(0, 7)}", None, None), "redirect": (None, None, f"A{rng.randint(0, 3)}")}.get(kind, (f"n{i}", f"DOI:10.9/{i}", None))
+        rows.append((f"t{i:02}", *keys, rng.choice([None, "", f"new{i}"]), f"u{i}", rng.choice([None, "", f"x{i}"])))
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], SCHEMA + ", ord_in int").repartition(3)
+    moves = spark.createDataFrame(red, "old_openalex_id string, old_doi string, old_arxiv_id string, new_id string, m int").selectExpr("*", "timestamp_seconds(m) AS merged_at", "concat('o', new_id) AS old_id")
+    got = resolve.upsert(spark.createDataFrame(stored, SCHEMA), df, moves, COLS, "ord_in").collect()
+    norm = lambda rows: sorted(tuple("" if v is None else v for v in r) for r in rows)
+    clean = [(*r[:2], r[2].removeprefix("DOI:") if r[2] else r[2], *r[3:]) for r in rows]
+    assert norm(tuple(r) for r in got) == norm(fold(stored, clean, red))
+
+
+def test_redirected_records_change_nothing_else(spark):
+    stored = spark.createDataFrame([("s1", None, None, None, None, None, "kept")], SCHEMA)
+    red = spark.sql("SELECT 'gone' AS old_id, 's1' AS new_id, 'WL' AS old_openalex_id, CAST(NULL AS string) AS old_doi, CAST(NULL AS string) AS old_arxiv_id, CAST(NULL AS timestamp) AS merged_at UNION ALL SELECT 'x', 'nowhere', 'WX', NULL, NULL, NULL")
+    rows = spark.createDataFrame([("t1", "WL", None, "a9", "text", "Loser title", "u", 1), ("t2", "WX", None, None, "text", "Never made again", "u", 2), ("t3", "WL", None, "a9", "later", "t", "u", 3), ("t4", None, None, None, "free", "No keys", None, 4), ("t5", None, "", None, "free", "No keys", None, 5)], SCHEMA + ", o int")
+    got = sorted(tuple(r) for r in resolve.upsert(stored, rows, red, COLS, "o").collect())
+    assert got == [("s1", None, None, None, "text", None, "kept"), ("t4", None, None, None, "free", "No keys", None), ("t5", None, None, None, "free", "No keys", None)]
+    assert resolve.upsert(stored, rows.limit(0), red, COLS, "o").count() == 1 and resolve.upsert(stored.limit(0), rows, red.limit(0), COLS, "o").count() == 4
 
 
 def test_resolve_rows(spark):
