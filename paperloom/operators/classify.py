@@ -7,7 +7,10 @@ So the cost follows the text and not text x dictionary.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import keyword_score, strip
@@ -25,13 +28,13 @@ def keyword_hits(papers: DataFrame, keywords: DataFrame) -> DataFrame:
     first = F.regexp_extract(kw, f"^({WORD}+)", 1)
     single = first == kw
     dim = keywords.select("entry_id", "slug", "slug_ord", kw.alias("kw"), single.alias("single"), F.explode(F.when(single, F.array(kw, F.concat(kw, F.lit("s")), F.concat(kw, F.lit("es")))).otherwise(F.array(first))).alias("probe"))
-    singles = docs.select("paper_id", F.explode(words).alias("probe")).join(dim.filter("single"), "probe").select("paper_id", "slug", "slug_ord", "entry_id")
+    # tokens are split, exploded and joined once, and without the text
+    entry = F.struct("entry_id", "slug", "slug_ord", "single", "kw")
+    found = docs.select("paper_id", F.explode(words).alias("probe")).join(dim, "probe").groupBy("paper_id").agg(F.collect_set(entry).alias("found"))
     # only keywords of several tokens need the text again, and only where their first token occurs
-    longer = dim.filter("NOT single")
-    cand = docs.select("paper_id", "body", F.explode(words).alias("probe")).join(longer, "probe")
-    pattern = F.concat(F.lit(rf"(?<!{WORD})\Q"), F.col("kw"), F.lit(rf"\E(?:e?s)?(?!{WORD})"))
-    multi = cand.filter(F.regexp_like("body", pattern)).select("paper_id", "slug", "slug_ord", "entry_id")
-    return singles.unionByName(multi).distinct().groupBy("paper_id", "slug", "slug_ord").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    pattern = lambda e: F.concat(F.lit(rf"(?<!{WORD})\Q"), e["kw"], F.lit(rf"\E(?:e?s)?(?!{WORD})"))
+    kept = found.join(docs, "paper_id").select("paper_id", F.explode(F.filter("found", lambda e: e["single"] | F.regexp_like("body", pattern(e)))).alias("e"))
+    return kept.select("paper_id", "e.slug", "e.slug_ord", "e.entry_id").distinct().groupBy("paper_id", "slug", "slug_ord").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
 
 
 def keyword_labels(papers: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -76,6 +79,54 @@ def hybrid_labels(by_keyword: DataFrame, by_centroid: DataFrame, tags: DataFrame
     return cut.join(tags.select(F.col("name").alias("slug"), F.col("id").alias("tag_id")), "slug").select("paper_id", "tag_id", "confidence", F.when(F.col("o") == 0, "keyword").otherwise("embedding").alias("source"))
 
 
+def modelled(rows: DataFrame, load: Callable[[], Callable[[list[str]], list[list[float]]]], text: str, size: int = 64) -> DataFrame:
+    """The rows with ``p``, an array of a model's numbers (an encoder's vector, a classifier's logits) for a text column.
+
+    ``load`` runs once a task and returns the model, which gets ``size`` texts at a time; so devices and
+    weights are the caller's. Null texts count as empty.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<double>")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import pandas as pd
+
+        model = load()
+        for batch in batches:
+            texts = batch.fillna("").tolist()
+            yield pd.Series([[float(x) for x in p] for i in range(0, len(texts), size) for p in model(texts[i : i + size])], dtype=object)
+
+    return rows.withColumn("p", score(F.col(text)))
+
+
+def missing_tags(labels: DataFrame, tags: DataFrame) -> DataFrame:
+    """The labels' slugs that no tag has, in order."""
+    return labels.select("slug").distinct().join(tags.select(F.col("name").alias("slug")), "slug", "left_anti").orderBy("slug")
+
+
+def statistics(papers: DataFrame, labels: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """One row: papers, classified ones, their share in whole per cent, mean labels of a classified paper, and fallbacks."""
+    per = labels.groupBy("paper_id").agg(F.count(F.lit(1)).alias("n"))
+    done = per.agg(F.count(F.lit(1)).alias("classified"), F.avg("n").alias("mean_labels"))
+    by_fallback = (fallback.select("paper_id").distinct() if fallback is not None else per.select("paper_id").limit(0)).agg(F.count(F.lit(1)).alias("fallbacks"))
+    out = papers.agg(F.count(F.lit(1)).alias("papers")).crossJoin(done).crossJoin(by_fallback)
+    return out.select("papers", "classified", F.when(F.col("papers") > 0, F.expr("classified * 100 div papers")).otherwise(0).cast("bigint").alias("per_cent"), "mean_labels", "fallbacks")
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """label, centroid from a JSON object ``{label: {"centroid": [...]}}``; a missing file is an error."""
+    raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<centroid:array<double>>>")).alias("label", "v"))
+    return raw.select("label", F.col("v.centroid").alias("centroid"))
+
+
+def read_cutoffs(spark: SparkSession, path: str) -> DataFrame:
+    """label, cutoff from a JSON object ``{label: number}``; no rows where there is no file."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return spark.createDataFrame([], "label string, cutoff double")
+    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,double>")).alias("label", "cutoff"))
+
+
 def score_labels(scores: DataFrame, threshold: float) -> DataFrame:
     """id, label, score from an array of probabilities: all at the threshold or above, else the first best."""
     best = F.array_position("p", F.array_max("p")).cast("int") - 1

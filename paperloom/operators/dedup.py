@@ -66,6 +66,21 @@ def by_signature(papers: DataFrame) -> DataFrame:
     return _losers(papers, signature(F.col("title"), F.col("authors"), F.col("published_date")), "signature", with_doi=True)
 
 
+def scanned(papers: DataFrame, now: Column | None = None, days: int | None = None, most: int | None = None) -> DataFrame:
+    """The papers of a duplicate scan: of the last days if given, the newest ones if capped."""
+    if days is not None:
+        papers = papers.filter(F.col("created_at") >= now - F.expr(f"INTERVAL {int(days)} DAYS"))
+    return papers if most is None else papers.orderBy(F.col("created_at").desc_nulls_last(), "id").limit(most)
+
+
+def sample(losers: DataFrame, papers: DataFrame, most: int = 10) -> DataFrame:
+    """A few lines to look at: ids in short and both titles up to 60 characters."""
+    title = lambda k: papers.select(F.col("id").alias(f"{k}_id"), F.left("title", F.lit(60)).alias(f"{k}_title"))
+    few = losers.orderBy("remove_id").limit(most)
+    out = few.join(title("keep"), "keep_id", "left").join(title("remove"), "remove_id", "left")
+    return out.select(F.left("keep_id", F.lit(8)).alias("keep"), F.left("remove_id", F.lit(8)).alias("remove"), "method", F.left("value", F.lit(40)).alias("value"), "keep_title", "remove_title")
+
+
 def report(papers: DataFrame) -> DataFrame:
     """One row a paper to remove, the surest method first (DOI, catalogue id, signature)."""
     every = by_doi(papers).withColumn("_o", F.lit(1)).unionByName(by_openalex(papers).withColumn("_o", F.lit(2))).unionByName(by_signature(papers).withColumn("_o", F.lit(3)))

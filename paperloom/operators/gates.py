@@ -43,6 +43,24 @@ def next_state(papers: DataFrame, now: Column) -> DataFrame:
     return papers.filter("abstract IS NULL").select("id", F.when(old, recovery_route(F.col("doi"))).otherwise("pending").alias("state"))
 
 
+def transition(papers: DataFrame, now: Column) -> DataFrame:
+    """All papers; those without an abstract in their next state, with the time of the attempt."""
+    tried = next_state(papers, now).select("id", F.col("state").alias("_s"))
+    j = papers.join(tried, "id", "left")
+    new = {"abstract_recovery_state": F.coalesce("_s", "abstract_recovery_state"), "abstract_recovery_last": F.when(F.col("_s").isNotNull(), now).otherwise(F.col("abstract_recovery_last"))}
+    return j.select(*[new.get(c, F.col(c)).alias(c) for c in papers.columns])
+
+
+def recovered_now(papers: DataFrame, asked: DataFrame) -> DataFrame:
+    """Ids of a batch whose papers have an abstract now."""
+    return papers.filter("abstract IS NOT NULL").join(asked.select("id"), "id", "left_semi").select("id")
+
+
+def of_discipline(rows: DataFrame, slug: str | None, column: str = "discipline") -> DataFrame:
+    """Rows of one discipline, or all; a row without a discipline is of none."""
+    return rows if slug is None else rows.filter(F.col(column) == slug)
+
+
 def recent_in_discipline(papers: DataFrame, paper_disciplines: DataFrame, discipline_id: str, now: Column, days: int = 7) -> DataFrame:
     links = paper_disciplines.filter(F.col("discipline_id") == discipline_id).select(F.col("paper_id").alias("id")).distinct()
     return papers.filter(F.col("created_at") >= now - F.expr(f"INTERVAL {int(days)} DAYS")).join(links, "id")

@@ -48,3 +48,9 @@ def claim_journal_papers(papers: DataFrame, journals: DataFrame) -> DataFrame:
     joined = papers.join(names, papers["source_openalex_id"] == names["source_id"], "left").withColumn("source", F.coalesce("configured", "source")).drop("configured", "source_id", "source_openalex_id")
     w = Window.partitionBy("openalex_id").orderBy("discipline_ord", "ordinal")
     return joined.filter("openalex_id IS NOT NULL").withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def journal_totals(journals: DataFrame) -> DataFrame:
+    """One row: entries of all disciplines (a journal of two counts in both) and disciplines."""
+    per = journals.groupBy("discipline").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("journals"), F.count(F.lit(1)).alias("disciplines"))

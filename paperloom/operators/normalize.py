@@ -88,6 +88,16 @@ def registry(items: DataFrame, journal: Column, fallback: DataFrame | None = Non
     )
 
 
+def statistics(records: DataFrame, valid: Column, doi: Column, ordinal: str) -> DataFrame:
+    """One row of an intake: records processed, invalid ones, those whose DOI came before, and those inserted."""
+    from pyspark.sql import Window
+
+    marked = records.select(F.coalesce(valid, F.lit(False)).alias("ok"), doi.alias("k"), F.col(ordinal).alias("o"))
+    repeated = (F.coalesce("k", F.lit("")) != "") & (F.row_number().over(Window.partitionBy("k", "ok", F.when(F.coalesce("k", F.lit("")) == "", F.col("o"))).orderBy("o")) > 1)
+    m = marked.withColumn("dup", repeated)
+    return m.agg(F.count(F.lit(1)).alias("processed"), F.count_if(~F.col("ok")).alias("invalid"), F.count_if(F.col("ok") & F.col("dup")).alias("duplicates"), F.count_if(F.col("ok") & ~F.col("dup")).alias("inserted"))
+
+
 def union(*feeds: DataFrame) -> DataFrame:
     """All feeds as one table; ``provided`` lists the columns each record's feed has."""
     marked = [f.withColumn("provided", F.array(*[F.lit(c) for c in f.columns])) for f in feeds]

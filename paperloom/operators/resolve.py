@@ -52,6 +52,30 @@ def resolve_rows(rows: DataFrame, papers: DataFrame, redirects: DataFrame, key:
     return moved.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def resolution_counts(rows: DataFrame, papers: DataFrame, redirects: DataFrame, key: list[str], ordinal: str) -> DataFrame:
+    """One row: rows, moved, dropped and collapsed ones of :func:`resolve_rows`."""
+    live = resolve_ids(rows.select(F.col("paper_id").alias("id")), papers, redirects)
+    n = rows.join(live, rows["paper_id"] == live["id"], "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("live_id") != F.col("paper_id")).alias("moved"), F.count_if(F.col("live_id").isNull()).alias("dropped"))
+    kept = resolve_rows(rows, papers, redirects, key, ordinal).agg(F.count(F.lit(1)).alias("kept"))
+    return n.crossJoin(kept).select("n_rows", "moved", "dropped", (F.col("n_rows") - F.col("dropped") - F.col("kept")).alias("collapsed"))
+
+
+def keyed_update(stored: DataFrame, incoming: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Stored rows with the given columns overwritten where an incoming row has their key; nothing is inserted."""
+    new = incoming.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in columns])
+    j = stored.join(new, F.col(key) == F.col("_k"), "left")
+    return j.select(*[F.when(F.col("_k").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in stored.columns])
+
+
+def write_version(df: DataFrame, base: str) -> str:
+    """Writes a table as a new version below ``base`` and returns its path; readers of older ones aren't disturbed, and a failed write leaves none."""
+    import uuid
+
+    path = f"{base.rstrip('/')}/v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def keyed_overwrite(stored: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """Stored rows, those with an incoming key replaced. A null in a key never meets another."""
     kept = stored.join(incoming.select(*key).distinct(), key, "left_anti")

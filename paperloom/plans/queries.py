@@ -123,11 +123,12 @@ def strip_markup(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.clean_jats(F.col("html")).alias("plain"))
 
 
-@query("SELECT doc_id, array_to_string(string_split(text, ' ')[1:50], ' ') AS rebuilt FROM documents")
+@query("SELECT doc_id, text AS rebuilt FROM documents WHERE text IS NOT NULL")
 def rebuild_text(spark, sf_dir):
-    words = F.slice(F.split("text", " "), 1, 50)
-    places = F.transform(F.array_distinct("w"), lambda x: F.struct(x, F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i) == x)))
-    return table(spark, sf_dir, "documents").select("doc_id", words.alias("w")).select("doc_id", text.rebuild_text(F.map_from_entries(places)).alias("rebuilt"))
+    """Whole texts through their inverted indexes, which are made of them by words."""
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
+    entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at")).groupBy("doc_id").agg(F.collect_list(F.struct("word", "at")).alias("e"))
+    return entries.select("doc_id", text.rebuild_text(F.map_from_entries("e")).alias("rebuilt"))
 
 
 # ---- selections
@@ -170,9 +171,9 @@ def recovery_transition(spark, sf_dir):
     return gates.next_state(V.papers(spark, sf_dir), V.now())
 
 
-@query(with_sql(f"SELECT id, title FROM papers WHERE created_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY AND id IN (SELECT paper_id FROM paper_disciplines WHERE discipline_id = 'd2')", "papers", "paper_disciplines"))
+@query(with_sql(f"SELECT id, title FROM papers WHERE created_at >= TIMESTAMP '{NOW}' - INTERVAL 60 DAY AND id IN (SELECT paper_id FROM paper_disciplines WHERE discipline_id = 'd2')", "papers", "paper_disciplines"))
 def recent_in_discipline(spark, sf_dir):
-    return gates.recent_in_discipline(V.papers(spark, sf_dir), V.paper_disciplines(spark, sf_dir), "d2", V.now()).select("id", "title")
+    return gates.recent_in_discipline(V.papers(spark, sf_dir), V.paper_disciplines(spark, sf_dir), "d2", V.now(), 60).select("id", "title")
 
 
 @query(with_sql("SELECT id FROM papers WHERE abstract IS NOT NULL AND id NOT IN (SELECT paper_id FROM paper_tags) ORDER BY id LIMIT 100", "papers", "paper_tags"))
@@ -393,8 +394,8 @@ _KW = "kw AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {D.quoted(k)}, {D.quot
 _BODY = "lower(concat_ws(' ', coalesce(title, ''), coalesce(abstract, ''), coalesce(source, '')))"
 _KEYWORD_SQL = f"""kd AS (SELECT id AS paper_id, {_BODY} AS body FROM papers),
   tok AS (SELECT DISTINCT paper_id, unnest(regexp_extract_all(body, '{D.W}+')) AS tok FROM kd),
-  one AS (SELECT paper_id, entry_id FROM tok JOIN (SELECT entry_id, unnest([lower(keyword), lower(keyword) || 's', lower(keyword) || 'es']) AS tok FROM kw WHERE NOT contains(keyword, ' ') AND NOT contains(keyword, '-')) USING (tok)),
-  many AS (SELECT paper_id, entry_id FROM kd, kw WHERE (contains(keyword, ' ') OR contains(keyword, '-')) AND contains(body, lower(keyword)) AND regexp_matches(body, '(^|[^\\p{{L}}\\p{{N}}_])' || lower(keyword) || '(e?s)?($|[^\\p{{L}}\\p{{N}}_])')),
+  one AS (SELECT paper_id, entry_id FROM tok JOIN (SELECT entry_id, unnest([lower(keyword), lower(keyword) || 's', lower(keyword) || 'es']) AS tok FROM kw WHERE regexp_full_match(lower(keyword), '{D.W}+')) USING (tok)),
+  many AS (SELECT paper_id, entry_id FROM kd, kw WHERE NOT regexp_full_match(lower(keyword), '{D.W}+') AND contains(body, lower(keyword)) AND regexp_matches(body, '(^|[^\\p{{L}}\\p{{N}}_])' || regexp_escape(lower(keyword)) || '(e?s)?($|[^\\p{{L}}\\p{{N}}_])')),
   hits AS (SELECT paper_id, slug, slug_ord, count(*) AS n FROM (SELECT DISTINCT * FROM (SELECT * FROM one UNION ALL SELECT * FROM many)) JOIN kw USING (entry_id) GROUP BY 1, 2, 3 HAVING count(*) >= 2),
   kl AS (SELECT * FROM (SELECT paper_id, slug, least(0.9::DOUBLE, 0.5::DOUBLE + n * 0.1::DOUBLE) AS confidence, row_number() OVER (PARTITION BY paper_id ORDER BY least(0.9::DOUBLE, 0.5::DOUBLE + n * 0.1::DOUBLE) DESC, slug_ord) AS rank FROM hits) WHERE rank <= 3)"""
 
@@ -408,10 +409,21 @@ def keyword_classify(spark, sf_dir):
     return classify.keyword_labels(V.papers(spark, sf_dir), _keywords(spark)).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query(None)
+_TITLED = "concat(ks[1 + doc_id % len(ks)], ' and ', ks[1 + (doc_id + 1) % len(ks)], CASE WHEN doc_id % 3 = 0 THEN concat('s with ', ks[1 + (doc_id + 2) % len(ks)]) ELSE ' in use' END)"
+
+
+@query(f"""WITH {D.dimension('subfield_keywords')}, kw AS (SELECT * FROM subfield_keywords), per AS (SELECT slug_ord AS so, list(keyword ORDER BY entry_id) AS ks FROM kw GROUP BY 1),
+  papers AS (SELECT concat('p', doc_id) AS id, {_TITLED} AS title, text AS abstract, source FROM documents JOIN per ON so = doc_id % (SELECT max(slug_ord) + 1 FROM kw)), {_KEYWORD_SQL} SELECT * FROM kl""")
 def subfield_classify(spark, sf_dir):
-    """The whole dictionary of subfields; per-row patterns take DuckDB too long, so a test compares with brute force."""
-    return classify.keyword_labels(V.papers(spark, sf_dir), dims.dimension(spark, "subfield_keywords")).withColumn("rank", F.col("rank").cast("bigint"))
+    """The whole dictionary of subfields over whole texts, under titles that hold keywords of one subfield each."""
+    kw = dims.dimension(spark, "subfield_keywords")
+    per = kw.groupBy(F.col("slug_ord").alias("so")).agg(F.transform(F.array_sort(F.collect_list(F.struct("entry_id", "keyword"))), lambda x: x["keyword"]).alias("ks"))
+    n = kw.agg(F.max("slug_ord") + 1).first()[0]
+    titled = _TITLED.replace("len(", "size(")
+    for k in ("doc_id % ", "(doc_id + 1) % ", "(doc_id + 2) % "):
+        titled = titled.replace(f"ks[1 + {k}size(ks)]", f"ks[int({k}size(ks))]")
+    papers = table(spark, sf_dir, "documents").join(per, F.expr(f"so = doc_id % {n}")).selectExpr("concat('p', doc_id) AS id", f"{titled} AS title", "text AS abstract", "source")
+    return classify.keyword_labels(papers, kw).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 _CENTROID_SQL = """per_axis AS (SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, unnest(range(1, 65)) t(i) GROUP BY 1, 2),
@@ -450,11 +462,11 @@ def hybrid_classify(spark, sf_dir):
     return classify.hybrid_labels(by_keyword, by_centroid, tags).withColumn("confidence", F.round("confidence", 6))
 
 
-@query("""WITH p AS (SELECT vec_id AS id, list_transform(embedding[1:12], lambda x: 1.0::DOUBLE / (1.0::DOUBLE + exp(-8.0::DOUBLE * x::DOUBLE))) AS p FROM embeddings),
+@query("""WITH p AS (SELECT vec_id AS id, list_transform(embedding, lambda x: 1.0::DOUBLE / (1.0::DOUBLE + exp(-8.0::DOUBLE * x::DOUBLE))) AS p FROM embeddings),
   e AS (SELECT id, unnest(p) AS score, unnest(range(0, len(p))) AS label, list_max(p) AS best, list_position(p, list_max(p)) - 1 AS first FROM p)
   SELECT id, label, round(score, 9) AS score FROM e WHERE score >= 0.9::DOUBLE OR (best < 0.9::DOUBLE AND label = first)""")
 def score_classify(spark, sf_dir):
-    p = F.transform(F.slice("embedding", 1, 12), lambda x: text.sigmoid(F.lit(8.0) * x.cast("double")))
+    p = F.transform("embedding", lambda x: text.sigmoid(F.lit(8.0) * x.cast("double")))
     out = classify.score_labels(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), p.alias("p")), 0.9)
     return out.select("id", F.col("label").cast("bigint").alias("label"), F.round("score", 9).alias("score"))
 
@@ -482,16 +494,16 @@ def model_input(spark, sf_dir):
 # ---- abstract recovery
 
 _LAYERS = """req AS (SELECT id, doc_id, concat('10.4000/', doc_id) AS ndoi, title FROM papers WHERE abstract IS NULL),
-  l1 AS (SELECT concat('10.4000/', doc_id) AS ndoi, substr(text, 1, 40 + doc_id % 300) AS abstract FROM documents WHERE doc_id % 3 <> 0),
-  l2 AS (SELECT concat('10.4000/', page_id * 2) AS ndoi, CASE WHEN page_id % 5 = 0 THEN '' ELSE substr(html, 1, 600) END AS abstract FROM pages),
+  l1 AS (SELECT concat('10.4000/', doc_id) AS ndoi, text AS abstract FROM documents WHERE doc_id % 3 <> 0),
+  l2 AS (SELECT concat('10.4000/', page_id * 2) AS ndoi, CASE WHEN page_id % 5 = 0 THEN '' ELSE html END AS abstract FROM pages),
   l3 AS (SELECT concat('10.4000/', item_id * 5) AS ndoi, concat('<p>', text, '</p>') AS abstract FROM benchmark)"""
 
 
 def _layers(spark, sf_dir):
     p = V.papers(spark, sf_dir)
     req = p.filter("abstract IS NULL").selectExpr("id", "doc_id", "concat('10.4000/', doc_id) AS ndoi", "title")
-    l1 = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").selectExpr("concat('10.4000/', doc_id) AS ndoi", "substr(text, 1, int(40 + doc_id % 300)) AS abstract")
-    l2 = table(spark, sf_dir, "pages").selectExpr("concat('10.4000/', page_id * 2) AS ndoi", "CASE WHEN page_id % 5 = 0 THEN '' ELSE substr(html, 1, 600) END AS abstract")
+    l1 = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").selectExpr("concat('10.4000/', doc_id) AS ndoi", "text AS abstract")
+    l2 = table(spark, sf_dir, "pages").selectExpr("concat('10.4000/', page_id * 2) AS ndoi", "CASE WHEN page_id % 5 = 0 THEN '' ELSE html END AS abstract")
     l3 = table(spark, sf_dir, "benchmark").selectExpr("concat('10.4000/', item_id * 5) AS ndoi", "concat('<p>', text, '</p>') AS abstract")
     return req, recover.layered(req, l1, l2, l3)
 
@@ -527,14 +539,14 @@ def recovery_statistics(spark, sf_dir):
 # ---- normalisers of raw records
 
 
-@query(f"""WITH {V.SQL['papers']} SELECT title, CASE WHEN doc_id % 3 = 0 THEN 'two words' ELSE nullif(substr(abstract, 1, 30), '') END AS abstract, [x.name for x in authors] AS names, source, 2024::INT AS published_year,
+@query(f"""WITH {V.SQL['papers']} SELECT title, CASE WHEN doc_id % 3 = 0 THEN 'two words' ELSE nullif(abstract, '') END AS abstract, [x.name for x in authors] AS names, source, 2024::INT AS published_year,
     doi, coalesce(nullif(doi, ''), concat('https://openalex.org/W', doc_id)) AS url, CASE WHEN doc_id % 2 = 0 THEN 'https://x.org/a.pdf' END AS pdf_url, concat('https://openalex.org/W', doc_id) AS openalex_id, (doc_id % 4)::INT AS citation_count,
     CASE WHEN doc_id % 2 = 0 THEN ['C1'] ELSE ['C1', 'C2'] END AS concept_ids FROM papers WHERE {D.valid_paper('title', 'source', 'authors', True)} AND title <> ''""")
 def catalogue_records(spark, sf_dir):
     p = V.papers(spark, sf_dir)
     raw = p.select(F.to_json(F.struct(
         F.expr("concat('https://openalex.org/W', doc_id)").alias("id"), "doi", "title", F.lit(2024).alias("publication_year"), F.expr("CASE WHEN doc_id % 4 <> 0 THEN doc_id % 4 END").alias("cited_by_count"),
-        F.expr("CASE WHEN doc_id % 3 <> 0 THEN substr(abstract, 1, 30) END").alias("abstract"), F.expr("CASE WHEN doc_id % 3 = 0 THEN map('words', array(1), 'two', array(0)) END").alias("abstract_inverted_index"),
+        F.expr("CASE WHEN doc_id % 3 <> 0 THEN abstract END").alias("abstract"), F.expr("CASE WHEN doc_id % 3 = 0 THEN map('words', array(1), 'two', array(0)) END").alias("abstract_inverted_index"),
         F.transform("authors", lambda a: F.struct(F.struct(a["name"].alias("display_name"), a["orcid"].alias("orcid"), a["openalex_id"].alias("id")).alias("author"), F.array(F.struct(a["affiliation"].alias("display_name"))).alias("institutions"))).alias("authorships"),
         F.struct(F.expr("CASE WHEN doc_id % 2 = 0 THEN 'https://x.org/a.pdf' END").alias("oa_url")).alias("open_access"), F.struct(F.struct(F.col("source").alias("display_name")).alias("source")).alias("primary_location"),
         F.array(F.struct(F.lit("https://openalex.org/C1").alias("id"), F.lit(0.5).alias("score")), F.struct(F.lit("https://openalex.org/C2").alias("id"), F.expr("CASE WHEN doc_id % 2 = 0 THEN 0.4D ELSE 0.8D END").alias("score"))).alias("concepts"),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import intake  # noqa: F401  (registers its queries)
 from . import queries as q
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -18,7 +18,7 @@ _PAPERS = [
     ("id", "concat('p', doc_id)", None),
     ("doc_id", "doc_id", None),
     ("title", "CASE WHEN doc_id % 41 = 0 THEN '' WHEN doc_id % 43 = 0 THEN source WHEN doc_id % 11 = 3 THEN concat('<i>', substr(replace(text, chr(10), ' '), 1, 60), '</i>') ELSE substr(replace(text, chr(10), ' '), 1, 60) END", None),
-    ("abstract", "CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 23 = 1 THEN '' WHEN doc_id % 29 = 2 THEN concat('All rights reserved ', substr(text, 1, 200)) ELSE substr(text, 1 + doc_id % 50, 1500) END", None),
+    ("abstract", "CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 23 = 1 THEN '' WHEN doc_id % 29 = 2 THEN concat('All rights reserved ', text) ELSE substr(text, CAST(1 + doc_id % 50 AS INT)) END", None),
     ("source", "source", None),
     ("doi", "CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN concat('10.1000/x', doc_id - doc_id % 6) WHEN 2 THEN concat('10.1000/X', doc_id - doc_id % 6) WHEN 3 THEN concat('https://doi.org/10.1000/x', doc_id - doc_id % 6) WHEN 4 THEN concat('DOI:10.1016/x', doc_id - doc_id % 6) WHEN 5 THEN concat(' doi: 10.1016/x', doc_id - doc_id % 6) ELSE '' END", None),
     ("openalex_id", "CASE WHEN doc_id % 4 = 0 THEN NULL ELSE concat('W', doc_id - doc_id % 3) END", None),
