@@ -395,7 +395,9 @@ _BODY = "lower(concat_ws(' ', coalesce(title, ''), coalesce(abstract, ''), coale
 _KEYWORD_SQL = f"""kd AS (SELECT id AS paper_id, {_BODY} AS body FROM papers),
   tok AS (SELECT DISTINCT paper_id, unnest(regexp_extract_all(body, '{D.W}+')) AS tok FROM kd),
   one AS (SELECT paper_id, entry_id FROM tok JOIN (SELECT entry_id, unnest([lower(keyword), lower(keyword) || 's', lower(keyword) || 'es']) AS tok FROM kw WHERE regexp_full_match(lower(keyword), '{D.W}+')) USING (tok)),
-  many AS (SELECT paper_id, entry_id FROM kd, kw WHERE NOT regexp_full_match(lower(keyword), '{D.W}+') AND contains(body, lower(keyword)) AND regexp_matches(body, '(^|[^\\p{{L}}\\p{{N}}_])' || regexp_escape(lower(keyword)) || '(e?s)?($|[^\\p{{L}}\\p{{N}}_])')),
+  long AS (SELECT entry_id, lower(keyword) AS k, regexp_extract(lower(keyword), '^{D.W}+') AS tok FROM kw WHERE NOT regexp_full_match(lower(keyword), '{D.W}+')),
+  many AS (SELECT paper_id, entry_id FROM tok JOIN long USING (tok) JOIN kd USING (paper_id)
+    WHERE CASE WHEN contains(body, k) THEN regexp_matches(body, '(^|[^\\p{{L}}\\p{{N}}_])' || regexp_escape(k) || '(e?s)?($|[^\\p{{L}}\\p{{N}}_])') ELSE false END),
   hits AS (SELECT paper_id, slug, slug_ord, count(*) AS n FROM (SELECT DISTINCT * FROM (SELECT * FROM one UNION ALL SELECT * FROM many)) JOIN kw USING (entry_id) GROUP BY 1, 2, 3 HAVING count(*) >= 2),
   kl AS (SELECT * FROM (SELECT paper_id, slug, least(0.9::DOUBLE, 0.5::DOUBLE + n * 0.1::DOUBLE) AS confidence, row_number() OVER (PARTITION BY paper_id ORDER BY least(0.9::DOUBLE, 0.5::DOUBLE + n * 0.1::DOUBLE) DESC, slug_ord) AS rank FROM hits) WHERE rank <= 3)"""
 
