@@ -61,9 +61,9 @@ def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     coded = parts.flatten().dictionary_encode()
     offsets = np.asarray(parts.offsets).astype(np.int64)
     offsets -= offsets[0]
-    raw, at = coded.dictionary, np.asarray(coded.indices)
-    # an empty piece, or white space that Arrow leaves at the end of a text, is no word
-    blank = np.asarray(pc.or_(pc.utf8_is_space(raw), pc.equal(pc.binary_length(raw), 0)))
+    # Arrow leaves white space at the end of a text, as a piece or behind its last word
+    raw, at = pc.utf8_trim_whitespace(coded.dictionary), np.asarray(coded.indices)
+    blank = np.asarray(pc.equal(pc.binary_length(raw), 0))
     if blank.any():
         keep = ~blank[at]
         offsets, at = np.concatenate([[0], np.cumsum(keep)])[offsets], at[keep]

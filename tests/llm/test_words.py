@@ -1,6 +1,6 @@
 import numpy as np
 import pyarrow as pa
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from paperloom.llm import words
@@ -8,6 +8,7 @@ from paperloom.llm import words
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="aB1é.,-!ßÉ日́ \t\u00a0\u3000", max_size=30), max_size=5))
+@example(["!\u3000", "a\u00a0", "\u3000"])
 def test_split_and_trimmed(texts):
     offsets, at, distinct = words.words(pa.array(texts, pa.string()))
     got = [[distinct[int(i)].as_py() for i in at[a:b]] for a, b in zip(offsets[:-1], offsets[1:])]
