@@ -1,21 +1,23 @@
 """Media columns: PNG decoding by hand and low-frequency cosine-transform hashes.
 
 The decoder walks the chunks, tests every checksum, joins and inflates the data chunks with zlib and
-undoes the line filters in numpy, for all images of a batch with the same shape at once. The hash
+undoes the line filters in numpy, along anti-diagonals, for images of a batch with the same shape at once. The hash
 averages an image to 32 x 32 greys, takes the lowest 8 x 8 coefficients of its cosine transform and
 keeps a bit for each: whether it lies above their median. Images that look alike differ in few bits.
 
 Defined results: null and empty values, wrong signatures, wrong checksums, cut data and unsupported
-kinds (interlaced, or a bit depth other than 8 and 16 where there are several channels) give a row
-with ``status`` and null hashes; repeated rows give repeated results; other columns stay out.
+kinds (interlaced, more than MAX_PIXELS pixels, or a bit depth other than 8 and 16 where there are
+several channels) give a row with ``status`` and null hashes; vectors may have any length, and nulls in them
+are 0; no vector gives no image; repeated rows give repeated results; other columns stay out.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,9 @@ SIDE, LOW = 32, 8
 HASHES = "media_id bigint, status string, width int, height int, grey_mean double, cosine_hash binary"
 #: Values of an image beyond this are refused rather than inflated (a file may claim any size).
 MAX_PIXELS = 1 << 28
+#: Lines undone at once, and bytes of inflated images that wait for others of their shape; they bound memory, not results.
+BAND = 256
+HELD_BYTES = 32 << 20
 
 
 class Broken(ValueError):
@@ -91,35 +96,38 @@ def opened(raw: bytes | None) -> tuple[tuple[int, int, int, int], np.ndarray, np
 
 
 def unfiltered(grids: np.ndarray, step: int) -> np.ndarray:
-    """Raw lines of images of one shape (images x lines x (1 + bytes)); ``step`` bytes a pixel."""
+    """Raw lines of images of one shape (images x lines x (1 + bytes)); ``step`` bytes a pixel.
+
+    Lines are undone in bands of BAND. A pixel needs the ones before, above and before that, so all
+    pixels of an anti-diagonal are undone at once; they lie side by side in an array by diagonal and line.
+    """
     n, h, size = grids.shape
-    size -= 1
-    out = np.zeros((n, h, size), np.uint8)
-    up = np.zeros((n, size), np.uint8)
-    for y in range(h):
-        kind, line = grids[:, y, 0], grids[:, y, 1:]
-        row = line.copy()
-        for k in np.unique(kind):
-            m = kind == k
-            if k == 1:
-                for c in range(step):
-                    row[m, c::step] = np.cumsum(line[m, c::step], axis=1, dtype=np.uint64).astype(np.uint8)
-            elif k == 2:
-                row[m] = line[m] + up[m]
-            elif k >= 3:
-                x, b = line[m].astype(np.int32), up[m].astype(np.int32)
-                got = np.zeros_like(x)
-                for i in range(size):
-                    left = got[:, i - step] if i >= step else 0
-                    if k == 3:
-                        add = (left + b[:, i]) >> 1
-                    else:
-                        corner = b[:, i - step] if i >= step else 0
-                        pa_, pb, pc_ = abs(b[:, i] - corner), abs(left - corner), abs(left + b[:, i] - 2 * corner)
-                        add = np.where((pa_ <= pb) & (pa_ <= pc_), left, np.where(pb <= pc_, b[:, i], corner))
-                    got[:, i] = (x[:, i] + add) & 255
-                row[m] = got.astype(np.uint8)
-        out[:, y] = up = row
+    w = (size - 1) // step
+    out = np.zeros((n, h, size - 1), np.uint8)
+    last = np.zeros((n, w, step), np.uint8)
+    for top in range(0, h, BAND):
+        part = grids[:, top : top + BAND]
+        m = part.shape[1]
+        # diagonal (1 + pixel + line), line (the one above the band first), image, byte
+        skewed = np.zeros((w + m + 1, m + 1, n, step), np.uint8)
+        skewed[1 : w + 1, 0] = last.transpose(1, 0, 2)
+        for y in range(m):
+            skewed[y + 2 : y + 2 + w, y + 1] = part[:, y, 1:].reshape(n, w, step).transpose(1, 0, 2)
+        kinds = np.zeros((m + 1, n, 1), np.uint8)
+        kinds[1:, :, 0] = part[:, :, 0].T
+        is_left, is_up, is_mean, is_paeth = (kinds == k for k in range(1, 5))
+        for d in range(2, w + m + 1):
+            lo, hi = max(1, d - w), min(m, d - 1) + 1
+            left, up = skewed[d - 1, lo:hi].astype(np.int16), skewed[d - 1, lo - 1 : hi - 1].astype(np.int16)
+            corner = skewed[d - 2, lo - 1 : hi - 1].astype(np.int16)
+            by_left, by_up = abs(up - corner), abs(left - corner)
+            by_corner = abs(left + up - 2 * corner)
+            paeth = np.where((by_left <= by_up) & (by_left <= by_corner), left, np.where(by_up <= by_corner, up, corner))
+            add = left * is_left[lo:hi] + up * is_up[lo:hi] + ((left + up) >> 1) * is_mean[lo:hi] + paeth * is_paeth[lo:hi]
+            skewed[d, lo:hi] += add.astype(np.uint8)
+        for y in range(m):
+            out[:, top + y] = skewed[y + 2 : y + 2 + w, y + 1].transpose(1, 0, 2).reshape(n, size - 1)
+        last = out[:, top + m - 1].reshape(n, w, step)
     return out
 
 
@@ -162,23 +170,35 @@ def cosine_hashes(grey: np.ndarray) -> np.ndarray:
     return np.packbits(low > np.median(low[:, 1:], axis=1, keepdims=True), axis=1)
 
 
-def hashed_batch(ids: list, images: list) -> list[tuple]:
+def hashed_batch(ids: list, images: Iterable) -> list[tuple]:
+    """A row of HASHES for each image; inflated images wait for others of their shape up to HELD_BYTES."""
     rows: list[tuple] = [()] * len(ids)
-    alike = defaultdict(list)
+    alike: dict[tuple, list] = defaultdict(list)
+    held = 0
+
+    def flush() -> None:
+        for (w, h, depth, colour), group in alike.items():
+            most = max(1, (1 << 22) // (w * h))  # bounds memory
+            for at in range(0, len(group), most):
+                part = group[at : at + most]
+                lines = unfiltered(np.stack([g for _, g, _ in part]), max(1, CHANNELS[colour] * depth // 8))
+                grey = greys(lines, (w, h, depth, colour), [p for _, _, p in part])
+                for (i, _, _), bits, mean in zip(part, cosine_hashes(grey), grey.mean(axis=(1, 2)), strict=True):
+                    rows[i] = (ids[i], "ok", w, h, float(mean), bits.tobytes())
+        alike.clear()
+
     for i, raw in enumerate(images):
         try:
             shape, grid, palette = opened(raw)
-            alike[shape].append((i, grid, palette))
         except Broken as e:
             rows[i] = (ids[i], str(e), None, None, None, None)
-    for (w, h, depth, colour), group in alike.items():
-        most = max(1, (1 << 22) // (w * h))  # bounds memory
-        for at in range(0, len(group), most):
-            part = group[at : at + most]
-            lines = unfiltered(np.stack([g for _, g, _ in part]), max(1, CHANNELS[colour] * depth // 8))
-            grey = greys(lines, (w, h, depth, colour), [p for _, _, p in part])
-            for (i, _, _), bits, mean in zip(part, cosine_hashes(grey), grey.mean(axis=(1, 2)), strict=True):
-                rows[i] = (ids[i], "ok", w, h, float(mean), bits.tobytes())
+            continue
+        alike[shape].append((i, grid, palette))
+        held += grid.size
+        if held > HELD_BYTES:
+            flush()
+            held = 0
+    flush()
     return rows
 
 
@@ -187,49 +207,64 @@ def hashed(media: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary()]
-        for b in batches:
-            rows = hashed_batch(b.column(0).to_pylist(), b.column(1).to_pylist())
+        for batch in batches:
+            rows = hashed_batch(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[x.split()[0] for x in HASHES.split(", ")])
 
     return media.select("media_id", "image").mapInArrow(run, HASHES)
 
 
-def filtered(lines: np.ndarray, kinds: list[int], step: int) -> bytes:
-    """Lines of one image under the given filters, for writing."""
-    out, up = bytearray(), np.zeros(lines.shape[1], np.int32)
-    for row, k in zip(lines.astype(np.int32), kinds, strict=True):
-        left = np.concatenate([np.zeros(step, np.int32), row[:-step]])
-        corner = np.concatenate([np.zeros(step, np.int32), up[:-step]])
-        p = left + up - corner
-        da, db, dc = abs(p - left), abs(p - up), abs(p - corner)
-        guess = [0, left, up, (left + up) >> 1, np.where((da <= db) & (da <= dc), left, np.where(db <= dc, up, corner))][k]
-        out += bytes([k]) + ((row - guess) & 255).astype(np.uint8).tobytes()
-        up = row
-    return bytes(out)
+def filtered(lines: np.ndarray, kinds: list[int], step: int) -> np.ndarray:
+    """Lines of images (images x lines x bytes) under the given filters, each after its filter's number, for writing."""
+    row = lines.astype(np.int16)
+    left, up, corner = np.zeros_like(row), np.zeros_like(row), np.zeros_like(row)
+    left[:, :, step:], up[:, 1:], corner[:, 1:, step:] = row[:, :, :-step], row[:, :-1], row[:, :-1, :-step]
+    out = np.zeros((*lines.shape[:2], lines.shape[2] + 1), np.uint8)
+    out[:, :, 0] = kinds
+    for k in set(kinds):
+        y = np.flatnonzero(np.asarray(kinds) == k)
+        a, b, c = left[:, y], up[:, y], corner[:, y]
+        da, db, dc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+        guess = [0, a, b, (a + b) >> 1, np.where((da <= db) & (da <= dc), a, np.where(db <= dc, b, c))][k]
+        out[:, y, 1:] = (row[:, y] - guess) & 255
+    return out
+
+
+def file_of(grid: np.ndarray, width: int, depth: int, colour: int, palette: bytes = b"") -> bytes:
+    """A PNG of filtered lines."""
+    body = zlib.compress(grid.tobytes(), 6)
+    half = len(body) // 2
+    return b"".join([SIGNATURE, chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(grid), depth, colour, 0, 0, 0)), chunk(b"PLTE", palette) if palette else b"", chunk(b"IDAT", body[:half]), chunk(b"IDAT", body[half:]), chunk(b"IEND", b"")])
 
 
 def png(lines: np.ndarray, width: int, depth: int = 8, colour: int = 0, kinds: list[int] | None = None, palette: bytes = b"") -> bytes:
     """A PNG of raw lines (height x bytes)."""
     step = max(1, CHANNELS[colour] * depth // 8)
-    body = zlib.compress(filtered(lines, kinds or [y % 5 for y in range(len(lines))], step), 6)
-    half = len(body) // 2
-    return b"".join([SIGNATURE, chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(lines), depth, colour, 0, 0, 0)), chunk(b"PLTE", palette) if palette else b"", chunk(b"IDAT", body[:half]), chunk(b"IDAT", body[half:]), chunk(b"IEND", b"")])
+    return file_of(filtered(lines[None], kinds or [y % 5 for y in range(len(lines))], step)[0], width, depth, colour, palette)
 
 
 def pictures(embeddings: DataFrame) -> DataFrame:
-    """Each vector as a grey 32 x 32 PNG (8 x 8 tiles of its values): media_id and image."""
+    """Each vector as a grey PNG, a square of 4 x 4 tiles of its values (8 x 8 tiles at least): media_id and image."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            images = []
-            for v in b.column(1).to_pylist():
-                if not v:
-                    images.append(None)
-                    continue
-                x = np.zeros(64)
-                x[: min(64, len(v))] = [0.0 if y is None else y for y in v[:64]]
-                grey = np.clip(np.round(128 + 256 * np.nan_to_num(x)), 0, 255).astype(np.uint8).reshape(8, 8)
-                images.append(png(np.kron(grey, np.ones((4, 4), np.uint8)), 32))
+            images: list[bytes | None] = [None] * b.num_rows
+            sides = defaultdict(list)
+            for i, v in enumerate(b.column(1)):
+                if v.is_valid and len(v):
+                    sides[max(8, math.isqrt(len(v) - 1) + 1)].append(i)
+            for side, rows in sides.items():
+                step = max(1, (1 << 20) // side**2)
+                for at in range(0, len(rows), step):
+                    part = rows[at : at + step]
+                    x = np.zeros((len(part), side * side))
+                    for k, i in enumerate(part):
+                        v = b.column(1)[i].values
+                        x[k, : len(v)] = v.to_numpy(zero_copy_only=False)
+                    grey = np.clip(np.round(128 + 256 * np.nan_to_num(x)), 0, 255).astype(np.uint8).reshape(-1, side, side)
+                    grids = filtered(grey.repeat(4, axis=1).repeat(4, axis=2), [y % 5 for y in range(4 * side)], 1)
+                    for i, grid in zip(part, grids, strict=True):
+                        images[i] = file_of(grid, 4 * side, 8, 0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(images, pa.binary())], names=["media_id", "image"])
 
     return embeddings.selectExpr("vec_id AS media_id", "embedding").mapInArrow(run, "media_id bigint, image binary")

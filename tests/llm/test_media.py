@@ -36,6 +36,39 @@ def test_unfilter(colour, depth):
     assert media.hashed_batch([1], [raw])[0][1:4] == ("ok", w, h)
 
 
+@pytest.mark.parametrize(("w", "h"), [(1, 1), (1, 300), (300, 1), (5, 600), (40, 257)])
+def test_bands(w, h):
+    lines = np.random.default_rng(w).integers(0, 256, (2, h, 3 * w), dtype=np.uint8)
+    grids = media.filtered(lines, [(y * 7 + 3) % 5 for y in range(h)], 3)
+    assert media.unfiltered(grids, 3).tolist() == lines.tolist() == [slow(g.tolist(), 3) for g in grids]
+
+
+def test_resize_equals_single_values():
+    for size in (7, 32, 50):
+        v = np.random.default_rng(size).random(size)
+        fine = np.repeat(v, 32)  # each value in 32 parts, of which a mean takes ``size``
+        assert np.allclose(media.averaged(size) @ v, fine.reshape(32, size).mean(1))
+
+
+def test_long_vectors_and_kinds(spark):
+    rng = np.random.default_rng(4)
+    v = [float(x) for x in rng.normal(0, 0.2, 100)]
+    e = spark.createDataFrame([(1, v), (2, v[:64]), (3, v[:99] + [None]), (None, v)], "vec_id bigint, embedding array<double>")
+    got = {r["media_id"]: r for r in media.hashed(media.pictures(e)).collect()}
+    assert {k: (r["status"], r["width"]) for k, r in got.items()} == {1: ("ok", 40), 2: ("ok", 32), 3: ("ok", 40), None: ("ok", 40)}
+    assert got[1]["cosine_hash"] == got[None]["cosine_hash"] and got[1]["grey_mean"] != got[3]["grey_mean"]
+    interlaced = bytearray(media.png(np.zeros((8, 8), np.uint8), 8))
+    interlaced[28] = 1
+    interlaced[29:33] = zlib.crc32(interlaced[12:29]).to_bytes(4, "big")
+    assert media.hashed_batch([1], [bytes(interlaced)])[0][1] == "unsupported"
+
+
+def test_held(monkeypatch):
+    monkeypatch.setattr(media, "HELD_BYTES", 100)
+    images = [media.png(np.full((8, 8), i, np.uint8), 8) if i % 3 else None for i in range(20)]
+    assert [(r[1], r[4]) for r in media.hashed_batch(list(range(20)), images)] == [("ok", float(i)) if i % 3 else ("empty", None) for i in range(20)]
+
+
 def test_hash_equals_direct_sum():
     grey = np.random.default_rng(1).random((1, 32, 32)) * 255
     direct = np.array([[sum(grey[0, y, x] * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for v in range(8)] for u in range(8)]).ravel()
