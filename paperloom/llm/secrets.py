@@ -81,6 +81,8 @@ ALPHABETS = tuple((math.log2(n) / 8, regex.compile(p)) for n, p in ((10, r"[0-9]
 WORD = regex.compile(r"(?<!\S)[\"'(\[]*(?:\p{Lu}?\p{Ll}*|\p{Lu}+)(?:['’-]\p{L}+)*[.,;:!?\"')\]]*(?!\S)")
 #: Parts of an unquoted identifier that can be spoken: with a vowel, and at most four consonants together.
 SPOKEN = regex.compile(r"(?<![A-Za-z])[a-z]{3,}(?![a-z])|[A-Z][a-z]{2,}|(?<=[A-Z][a-z]*|_)[a-z]{3,}(?![a-z])|(?<![A-Za-z])[A-Z]{3,}(?![A-Za-z])")
+#: Random strings hold short letter runs between digits; beside a digit, a word has four letters at least.
+HEX = regex.compile(r"(?=[^0-9]*[0-9])(?:[0-9a-f]+|[0-9A-F]+)")
 VOWEL, HARD = regex.compile(r"(?i)[aeiouy]"), regex.compile(r"(?i)[b-df-hj-np-tv-xz]{5}")
 FINDINGS = "doc_id bigint, kind string, start bigint, length bigint, marginal_bytes bigint, share double, sha256 string"
 
@@ -109,8 +111,16 @@ def judged(text: str, a: int, b: int, measured: str, identifiers: bytes) -> int:
 
 
 def unspoken(value: str) -> str:
-    """An unquoted value without the parts that are words; all of it where they are the lesser part."""
-    rest = SPOKEN.sub(lambda m: "" if VOWEL.search(m[0]) and not HARD.search(m[0]) else m[0], value)
+    """An unquoted value without the parts that are words; all of it where they are the lesser part, or where it is hex."""
+    if HEX.fullmatch(value):
+        return value
+
+    def part(m: regex.Match) -> str:
+        a, b = m.span()
+        beside = value[max(0, a - 1) : a].isdigit() or value[b : b + 1].isdigit()
+        return "" if VOWEL.search(m[0]) and not HARD.search(m[0]) and (len(m[0]) >= 4 or not beside) else m[0]
+
+    rest = SPOKEN.sub(part, value)
     return value if 2 * len(rest) > len(value) else rest
 
 
