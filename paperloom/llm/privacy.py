@@ -78,7 +78,7 @@ def entities(text: str) -> list[tuple[str, int, int]]:
                 end = tail.end()
             continue
         for at in (a, a + 1) if m[0][0] in "+(" else (a,):
-            if at >= end and (n := NUMBER.match(text, at)) and not IN_MAIL.match(text, n.end()):
+            if at >= end and (n := NUMBER.match(text, at)) and not IN_MAIL.match(text, at):
                 out.append((n.lastgroup or "", *n.span()))
                 end = n.end()
                 break
