@@ -6,6 +6,8 @@ generation. Word characters are letters, numbers and the underscore of any scrip
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,7 +121,23 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once; lambdas that hold its expression would compute it for every element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def inverted_index(c: Column) -> Column:
+    """word -> positions of a text split at single spaces, made inside the row; null stays null."""
+    word = lambda a, i: F.get(a, i)["word"]
+    pairs = F.sort_array(F.transform(F.split(c, " ", -1), lambda w, i: F.struct(w.alias("word"), i.alias("pos"))))
+    starts = lambda a: F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: (i == 0) | (word(a, i) != word(a, i - 1)))
+    positions = lambda a, i, end: F.transform(F.slice(a, i + 1, end - i), lambda x: x["pos"])
+    entry = lambda a, s, i, k: F.struct(word(a, i).alias("word"), positions(a, i, F.coalesce(F.get(s, k + 1), F.size(a))).alias("at"))
+    entries = _let(pairs, lambda a: _let(starts(a), lambda s: F.transform(s, lambda i, k: entry(a, s, i, k))))
+    return F.map_from_entries(F.when(c.isNotNull(), entries))
+
+
 def rebuild_text(index: Column) -> Column:
     """The text of an inverted index word -> positions; null when it is empty."""
-    pairs = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
-    return F.when(F.size(index) > 0, F.array_join(F.transform(F.array_sort(pairs), lambda x: x["word"]), " "))
+    pairs = lambda m: F.flatten(F.transform(F.map_entries(m), lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("pos"), i.alias("ord"), e["key"].alias("word")))))
+    return _let(index, lambda m: F.when(F.size(m) > 0, F.array_join(F.transform(F.sort_array(pairs(m)), lambda x: x["word"]), " ")))

@@ -126,9 +126,8 @@ def strip_markup(spark, sf_dir):
 @query("SELECT doc_id, text AS rebuilt FROM documents WHERE text IS NOT NULL")
 def rebuild_text(spark, sf_dir):
     """Whole texts through their inverted indexes, which are made of them by words."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "word"))
-    entries = words.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at")).groupBy("doc_id").agg(F.collect_list(F.struct("word", "at")).alias("e"))
-    return entries.select("doc_id", text.rebuild_text(F.map_from_entries("e")).alias("rebuilt"))
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    return docs.select("doc_id", text.rebuild_text(text.inverted_index(F.col("text"))).alias("rebuilt"))
 
 
 # ---- selections

@@ -112,3 +112,9 @@ def test_subfields_equal_patterns(spark):
             if re.search(r"\b" + re.escape(r["keyword"].lower()) + r"(?:e?s)?\b", t.lower()):
                 want[str(i), r["slug"]] = want.get((str(i), r["slug"]), 0) + 1
     assert got == {k: n for k, n in want.items() if n >= 2} and got
+
+
+def test_inverted_index(spark):
+    rows = [("a b a  c",), ("",), (None,), ("b",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(text.inverted_index(F.col("t"))).collect()]
+    assert got == [{"a": [0, 2], "b": [1], "": [3], "c": [4]}, {"": [0]}, None, {"b": [0]}]

@@ -30,3 +30,11 @@ def test_nothing_else_imports_the_optional_part():
                 for node in ast.walk(ast.parse(open(os.path.join(folder, f), encoding="utf-8").read())):
                     names = [a.name for a in node.names] if isinstance(node, (ast.Import, ast.ImportFrom)) else []
                     assert not any("llm" in n for n in names) and "llm" not in (getattr(node, "module", None) or ""), f
+
+
+def test_rebuilt_texts_are_never_shuffled(spark, tmp_path):
+    texts = ["a b a  c", "", " ", None, "x " * 3000, "a b a  c", "é\ne é "]
+    spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.queries()["rebuild_text"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted((i // 2, t) for i, t in enumerate(texts) if t is not None)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
