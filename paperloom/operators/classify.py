@@ -1,8 +1,9 @@
 """Keyword, centroid and model-score classifiers.
 
 Keywords are matched by an equi-join on tokens: a text's distinct tokens meet each keyword's first
-token (and its plurals for one-word keywords); only longer keywords are then verified by a pattern.
-So the cost follows the text and not text x dictionary.
+token (and its plurals for one-word keywords); only longer keywords that the text contains are then
+verified by a pattern. So the cost follows the text and not text x dictionary. The dictionary goes to
+every task and texts stay where they are read.
 """
 
 from __future__ import annotations
@@ -23,18 +24,19 @@ def keyword_hits(papers: DataFrame, keywords: DataFrame) -> DataFrame:
     """paper_id, slug, slug_ord, n: matching dictionary entries per subfield, two at least."""
     text = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")), F.coalesce("source", F.lit(""))))
     docs = papers.select(F.col("id").alias("paper_id"), text.alias("body"))
-    words = F.array_distinct(F.regexp_extract_all("body", F.lit(f"({WORD}+)"), F.lit(1)))
+    words = F.regexp_extract_all("body", F.lit(f"({WORD}+)"), F.lit(1))
     kw = F.lower("keyword")
     first = F.regexp_extract(kw, f"^({WORD}+)", 1)
     single = first == kw
     dim = keywords.select("entry_id", "slug", "slug_ord", kw.alias("kw"), single.alias("single"), F.explode(F.when(single, F.array(kw, F.concat(kw, F.lit("s")), F.concat(kw, F.lit("es")))).otherwise(F.array(first))).alias("probe"))
-    # tokens are split, exploded and joined once, and without the text
-    entry = F.struct("entry_id", "slug", "slug_ord", "single", "kw")
-    found = docs.select("paper_id", F.explode(words).alias("probe")).join(dim, "probe").groupBy("paper_id").agg(F.collect_set(entry).alias("found"))
-    # only keywords of several tokens need the text again, and only where their first token occurs
-    pattern = lambda e: F.concat(F.lit(rf"(?<!{WORD})\Q"), e["kw"], F.lit(rf"\E(?:e?s)?(?!{WORD})"))
-    kept = found.join(docs, "paper_id").select("paper_id", F.explode(F.filter("found", lambda e: e["single"] | F.regexp_like("body", pattern(e)))).alias("e"))
-    return kept.select("paper_id", "e.slug", "e.slug_ord", "e.entry_id").distinct().groupBy("paper_id", "slug", "slug_ord").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    probes = [r["probe"] for r in dim.select("probe").distinct().collect()]
+    known = docs.select("paper_id", "body", F.array_distinct(F.filter(words, lambda w: w.isin(probes))).alias("known"))
+    met = known.select("paper_id", "body", F.explode("known").alias("probe")).join(F.broadcast(dim), "probe")
+    # a pattern is compiled and run only where the keyword is in the text
+    pattern = F.concat(F.lit(rf"(?<!{WORD})\Q"), "kw", F.lit(rf"\E(?:e?s)?(?!{WORD})"))
+    held = F.when(F.col("single"), True).when(F.contains("body", "kw"), F.regexp_like("body", pattern)).otherwise(False)
+    kept = met.filter(held).select("paper_id", "slug", "slug_ord", "entry_id").repartition("paper_id")
+    return kept.distinct().groupBy("paper_id", "slug", "slug_ord").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
 
 
 def keyword_labels(papers: DataFrame, keywords: DataFrame) -> DataFrame:

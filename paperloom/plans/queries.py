@@ -423,7 +423,7 @@ def subfield_classify(spark, sf_dir):
     titled = _TITLED.replace("len(", "size(")
     for k in ("doc_id % ", "(doc_id + 1) % ", "(doc_id + 2) % "):
         titled = titled.replace(f"ks[1 + {k}size(ks)]", f"ks[int({k}size(ks))]")
-    papers = table(spark, sf_dir, "documents").join(per, F.expr(f"so = doc_id % {n}")).selectExpr("concat('p', doc_id) AS id", f"{titled} AS title", "text AS abstract", "source")
+    papers = table(spark, sf_dir, "documents").join(F.broadcast(per), F.expr(f"so = doc_id % {n}")).selectExpr("concat('p', doc_id) AS id", f"{titled} AS title", "text AS abstract", "source")
     return classify.keyword_labels(papers, kw).withColumn("rank", F.col("rank").cast("bigint"))
 
 

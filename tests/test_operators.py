@@ -167,3 +167,16 @@ def test_components_of_chains(spark):
     names = lambda rows: frozenset(n for n, _ in rows)
     assert {frozenset(g) for g in groups.values()} == {names(chain), names(more[:5]), names(more[5:14]), frozenset(["lone"]), frozenset(["none"])}
     assert len(got) == len(chain) + len(more) and len(tracker) < 30
+
+
+def test_keywords_move_no_texts(spark):
+    from paperloom.operators import classify
+
+    rng = random.Random(6)
+    ends = ["Deep  learning", "deep learning models and graph", "deep learnings, a graphs", "undeep learning graph", "deep learnt graph", "c++es graph", "c++x graph", "Graphes deep learning", None]
+    papers = spark.createDataFrame([(f"p{i}", "t", e and rng.randbytes(20_000).hex() + " deep " + e, "src") for i, e in enumerate(ends)], "id string, title string, abstract string, source string")
+    words = spark.createDataFrame([(1, "Deep learning", "a", 0), (2, "graph", "a", 0), (3, "C++", "a", 0), (4, "deep learning model", "b", 1), (5, "DEEP", "b", 1)], "entry_id int, keyword string, slug string, slug_ord int")
+    before = shuffled(spark)
+    got = sorted((r["paper_id"], r["slug"], r["n"]) for r in classify.keyword_hits(papers, words).collect())
+    assert shuffled(spark) - before < 40_000
+    assert got == [("p1", "a", 2), ("p1", "b", 2), ("p2", "a", 2), ("p5", "a", 2), ("p7", "a", 2)]
